@@ -68,3 +68,43 @@ SELECT printf('%010d', l_orderkey) AS accession,
        l_extendedprice AS price,
        {signed_qty('CAST(l_quantity AS BIGINT)', case_map('l_linestatus', {'O': 'A', 'F': 'D'}))} AS qty
 FROM lineitem"""
+
+
+# R2 in SQL. Python's whitespace set, in RE2 syntax.
+PY_WS_RE2 = (r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+             r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+
+
+def normalize_name(x: str) -> str:
+    cap = ("array_to_string(list_transform(string_split(w, '-'), "
+           "lambda p: upper(substr(p, 1, 1)) || lower(substr(p, 2))), '-')")
+    fix = (f"CASE WHEN lower({cap}) LIKE 'mc%' AND length({cap}) > 2 "
+           f"THEN substr({cap}, 1, 2) || upper(substr({cap}, 3, 1)) || lower(substr({cap}, 4)) "
+           f"ELSE {cap} END")
+    words = f"list_filter(regexp_split_to_array({x}, '{PY_WS_RE2}+'), lambda w: w <> '')"
+    return f"array_to_string(list_transform({words}, lambda w: {fix}), ' ')"
+
+
+def strip_ws(x: str) -> str:
+    return f"regexp_replace({x}, '^{PY_WS_RE2}+|{PY_WS_RE2}+$', '', 'g')"
+
+
+def owner_title(is_off: str, off_title: str, is_dir: str, is_ten: str, remarks: str) -> str:
+    text = f"(CASE WHEN {off_title} = '' THEN NULL ELSE coalesce({off_title}, 'See Remarks') END)"
+    text = (f"(CASE WHEN contains({text}, 'See Remarks') AND {remarks} IS NOT NULL "
+            f"THEN nullif({remarks}, '') ELSE {text} END)")
+    parts = (f"list_concat(CASE WHEN {is_off} IN ('true', '1') THEN [{text}] ELSE [] END, "
+             f"CASE WHEN {is_dir} IN ('true', '1') THEN ['Director'] ELSE [] END, "
+             f"CASE WHEN {is_ten} IN ('true', '1') THEN ['10% Owner'] ELSE [] END)")
+    return (f"(CASE WHEN list_contains(list_transform({parts}, lambda p: p IS NULL), true) THEN NULL "
+            f"WHEN len({parts}) = 0 THEN 'No Title' ELSE array_to_string({parts}, ', ') END)")
+
+
+def money_text(cents: str) -> str:
+    """Digits with thousands commas from a non-negative integer of cents."""
+    whole = f"CAST(floor({cents} / 100) AS BIGINT)"
+    frac = f"lpad(CAST(({cents}) % 100 AS STRING), 2, '0')"
+    th = f"CAST(floor({whole} / 1000) AS BIGINT)"
+    lo = f"CAST({whole} % 1000 AS STRING)"
+    return (f"(CASE WHEN {th} > 0 THEN CAST({th} AS STRING) || ',' || lpad({lo}, 3, '0') "
+            f"ELSE {lo} END || '.' || {frac})")

@@ -6,26 +6,11 @@ Every computed column is aliased identically on both sides.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from tradewell.plans import fixtures as fx
 from tradewell.plans import oracle as osql
+from tradewell.plans.registry import ORACLE, QUERIES, register  # noqa: F401
 from tradewell.operators.combine import combine_transactions
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
 
 TRADE_OUT = ["accession", "x_flag", "trade_type", "trade_date", "price", "qty", "value"]
 
@@ -44,3 +29,7 @@ def combine_trades(spark, sf_dir):
 def combine_trades_by_date(spark, sf_dir):
     tx = fx.lineitem_transactions(fx.table(spark, sf_dir, "lineitem"))
     return combine_transactions(tx, by_date=True).select(*TRADE_OUT)
+
+
+# The other query groups register themselves on import.
+from tradewell.plans import q_scalars  # noqa: E402,F401
