@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewell.functions.scalars import signed_qty, trade_type
+from tradewell.session import spread
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -55,3 +56,95 @@ def lineitem_transactions(lineitem: DataFrame) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
         signed_qty(shares, a_d).alias("qty"),
     )
+
+
+# orders + lineitem -> Form 4 submission texts ----------------------------------
+# A filing is an order (accession from custkey, year and orderkey; the filer
+# CIK is the custkey). Each lineitem row is one document *part* of its filing
+# carrying the full header and one transaction, so no document is built by
+# collecting a group: parts are bounded by construction whatever the skew.
+# Orders with status 'P' hold a derivative table (empty, or with the part's
+# transaction when its return flag is 'N').
+FILING_SQL = {
+    "accession": "format_string('%010d-%02d-%06d', o_custkey, year(o_orderdate) % 100, o_orderkey)",
+    "cik": "format_string('%010d', o_custkey)",
+    "filing_ts": "timestampadd(SECOND, CAST(o_orderkey % 86400 AS INT), o_orderdate)",
+    "ticker": "format_string('CUSTOMER#%09d', o_custkey)",
+    "owner": ("CASE o_orderstatus WHEN 'F' THEN 'MCDONALD-SMITH ' WHEN 'O' THEN 'o''brien  ' "
+              "ELSE 'van der  berg ' END || upper(substr(o_orderpriority, 3))"),
+    "is_officer": ("CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'true' "
+                   "WHEN o_orderpriority = '3-MEDIUM' THEN '1' ELSE '0' END"),
+    "officer_title": ("CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'See Remarks' "
+                      "WHEN 2 THEN 'CEO' ELSE 'Chief Financial Officer' END"),
+    "is_director": "CASE WHEN o_custkey % 2 = 0 THEN '1' ELSE 'false' END",
+    "is_ten_pct": "CASE WHEN o_totalprice > 300000 THEN 'true' ELSE '0' END",
+    "remarks": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'Remark for ' || o_orderstatus END",
+    "has_deriv": "o_orderstatus = 'P'",
+}
+LINE_SQL = {
+    "code": "CASE l_returnflag WHEN 'A' THEN 'P' WHEN 'R' THEN 'S' ELSE 'M' END",
+    "a_d": "CASE l_linestatus WHEN 'O' THEN 'A' ELSE 'D' END",
+    "shares_text": ("CASE WHEN l_linenumber = 6 THEN CAST(CAST(l_quantity AS BIGINT) AS STRING) || '.5' "
+                    "ELSE CAST(CAST(l_quantity AS BIGINT) AS STRING) END"),
+    "footnote_price": "l_linenumber = 5",
+    "in_deriv": "o_orderstatus = 'P' AND l_returnflag = 'N'",
+}
+# Injected defects: whole filings (all parts) and single transactions.
+DEFECT_SQL = {
+    "no_accept": "o_orderpriority = '5-LOW' AND o_orderstatus = 'O'",
+    "malformed": "o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O'",
+    "no_ticker": "o_orderpriority = '5-LOW' AND o_orderstatus = 'F'",
+    "empty_title": "o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F'",
+    "no_date": "l_linenumber = 7",
+    "no_code": "l_linenumber = 4 AND l_returnflag = 'R'",
+}
+
+
+def _el(tag, inner):
+    return F.concat(F.lit(f"<{tag}>"), inner, F.lit(f"</{tag}>"))
+
+
+def _opt(cond, text):
+    return F.when(cond, text).otherwise(F.lit(""))
+
+
+def filing_documents(orders: DataFrame, lineitem: DataFrame, defects: bool = False) -> DataFrame:
+    e = {k: F.expr(v) for k, v in {**FILING_SQL, **LINE_SQL}.items()}
+    d = {k: (F.expr(v) if defects else F.lit(False)) for k, v in DEFECT_SQL.items()}
+    j = spread(lineitem).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    val = lambda x: _el("value", x)
+    price = F.when(e["footnote_price"], F.lit('<footnoteId id="F1"/>')).otherwise(
+        val(F.col("l_extendedprice").cast("string")))
+    tx_inner = F.concat(
+        _opt(~d["no_date"], _el("transactionDate", val(F.date_format("l_shipdate", "yyyy-MM-dd")))),
+        _opt(~d["no_code"], _el("transactionCoding", F.concat(
+            F.lit("<transactionFormType>4</transactionFormType>"), _el("transactionCode", e["code"])))),
+        _el("transactionAmounts", F.concat(
+            _el("transactionShares", val(e["shares_text"])),
+            _el("transactionPricePerShare", price),
+            _el("transactionAcquiredDisposedCode", val(e["a_d"])))))
+    non_deriv = _el("nonDerivativeTable", _opt(~e["in_deriv"], _el("nonDerivativeTransaction", tx_inner)))
+    deriv = _opt(e["has_deriv"], _el("derivativeTable", _opt(e["in_deriv"], _el("derivativeTransaction", tx_inner))))
+    officer_title = F.when(d["empty_title"], F.lit("<officerTitle/>")).otherwise(
+        _opt(e["officer_title"].isNotNull(), _el("officerTitle", F.coalesce(e["officer_title"], F.lit("")))))
+    is_officer = F.when(d["empty_title"], F.lit("true")).otherwise(e["is_officer"])
+    rel = _el("reportingOwnerRelationship", F.concat(
+        _el("isDirector", e["is_director"]), _el("isOfficer", is_officer),
+        _el("isTenPercentOwner", e["is_ten_pct"]), officer_title))
+    owner = _el("reportingOwner", F.concat(_el("reportingOwnerId", F.concat(
+        _el("rptOwnerCik", F.format_string("%010d", F.col("l_suppkey"))),
+        _el("rptOwnerName", e["owner"]))), rel))
+    issuer = _el("issuer", F.concat(_el("issuerCik", e["cik"]),
+                                    _opt(~d["no_ticker"], _el("issuerTradingSymbol", e["ticker"]))))
+    remarks = _opt(e["remarks"].isNotNull(), _el("remarks", F.coalesce(e["remarks"], F.lit(""))))
+    doc = F.concat(F.lit('<?xml version="1.0"?>\n<ownershipDocument><schemaVersion>X0508</schemaVersion>'),
+                   issuer, owner, non_deriv, deriv, remarks, F.lit("</ownershipDocument>"))
+    doc = F.when(d["malformed"], F.substring(doc, 1, 300)).otherwise(doc)
+    header = F.concat(
+        F.lit("<SEC-DOCUMENT>"), e["accession"], F.lit(".txt\n<SEC-HEADER>\n"),
+        _opt(~d["no_accept"], F.concat(F.lit("<ACCEPTANCE-DATETIME>"),
+                                       F.date_format(e["filing_ts"], "yyyyMMddHHmmss"), F.lit("\n"))),
+        F.lit("CONFORMED SUBMISSION TYPE:\t4\n</SEC-HEADER>\n<DOCUMENT>\n<TYPE>4\n<TEXT>\n<XML>\n"))
+    body = F.concat(header, doc, F.lit("\n</XML>\n</TEXT>\n</DOCUMENT>\n</SEC-DOCUMENT>\n"))
+    return j.select(e["cik"].alias("cik"), e["accession"].alias("accession"),
+                    F.col("l_linenumber").alias("part"), body.alias("body"))

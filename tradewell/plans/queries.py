@@ -34,3 +34,4 @@ def combine_trades_by_date(spark, sf_dir):
 # The other query groups register themselves on import.
 from tradewell.plans import q_scalars  # noqa: E402,F401
 from tradewell.plans import q_store  # noqa: E402,F401
+from tradewell.plans import q_filings  # noqa: E402,F401

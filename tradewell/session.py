@@ -58,3 +58,17 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
     path = os.path.join(base, sub) if "://" not in base else f"{base.rstrip('/')}/{sub}"
     return path
+
+
+def spread(df, min_partitions: int | None = None):
+    """Spread CPU-heavy per-row work (XML / HTML parsing) over the cluster.
+
+    Only when the *scan* gives fewer partitions than the cluster can run at
+    once (e.g. one small file with one row group); a large input already has
+    enough splits and is returned unchanged, with no shuffle.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
