@@ -148,3 +148,59 @@ def filing_documents(orders: DataFrame, lineitem: DataFrame, defects: bool = Fal
     body = F.concat(header, doc, F.lit("\n</XML>\n</TEXT>\n</DOCUMENT>\n</SEC-DOCUMENT>\n"))
     return j.select(e["cik"].alias("cik"), e["accession"].alias("accession"),
                     F.col("l_linenumber").alias("part"), body.alias("body"))
+
+
+# customer + supplier -> ticker dictionary (JSON lines) and watch lists ---------
+# Customers are the listed companies: ticker upper(c_name), CIK c_custkey, at
+# dictionary position 2*c_custkey. Each supplier adds a later or earlier
+# duplicate of customer 3*s_suppkey's ticker with another CIK, at position
+# 2*s_suppkey+1, so "first match wins" decides.
+def ticker_dictionary_json(customer: DataFrame, supplier: DataFrame) -> DataFrame:
+    def entry(pos, cik, ticker):
+        return F.to_json(F.create_map(pos.cast("string"), F.struct(cik.cast("bigint").alias("cik_str"),
+                                                                     ticker.alias("ticker"))))
+    c = customer.select(entry(F.col("c_custkey") * 2, F.col("c_custkey"), F.upper("c_name")).alias("value"))
+    s = supplier.select(entry(F.col("s_suppkey") * 2 + 1, F.col("s_suppkey") + 800000,
+                              F.format_string("CUSTOMER#%09d", F.col("s_suppkey") * 3)).alias("value"))
+    return c.unionByName(s)
+
+
+WATCH_FILE_SQL = ("CASE WHEN c_acctbal < 0 THEN '   ' WHEN c_mktsegment = 'BUILDING' "
+                  "THEN '  ' || lower(c_name) || chr(9) ELSE c_name END")
+WATCH_PARAM_SQL = [
+    "s_name",
+    "CAST(s_suppkey * 7 + 100000 AS STRING)",
+    "' ' || lower(format_string('customer#%09d', s_suppkey * 3))",
+    "'12345678901' || CAST(s_suppkey AS STRING)",
+]
+
+
+def watchlist_lines(customer: DataFrame, supplier: DataFrame):
+    """(file lines, parameter symbols) as one-column DataFrames."""
+    file_lines = customer.select(F.expr(WATCH_FILE_SQL.replace("chr(", "char(")).alias("symbol"))
+    params = None
+    for e in WATCH_PARAM_SQL:
+        p = supplier.select(F.expr(e).alias("symbol"))
+        params = p if params is None else params.unionByName(p)
+    return file_lines, params
+
+
+# orders -> filing index JSON shards --------------------------------------------
+# One shard per (custkey, block of 1000 orderkeys): a shard never holds more
+# than 1000 entries, whatever the skew of custkey. Entries newest first.
+INDEX_FORM_SQL = "CASE o_orderpriority WHEN '1-URGENT' THEN '4/A' WHEN '2-HIGH' THEN '3' ELSE '4' END"
+
+
+def filing_index_json(orders: DataFrame) -> DataFrame:
+    e = orders.select(
+        F.expr(FILING_SQL["cik"]).alias("cik"),
+        F.floor(F.col("o_orderkey") / 1000).alias("block"),
+        F.struct(F.to_date("o_orderdate").alias("d"), F.expr(FILING_SQL["accession"]).alias("a"),
+                 F.expr(INDEX_FORM_SQL).alias("f")).alias("e"))
+    g = e.groupBy("cik", "block").agg(F.collect_list("e").alias("es"))
+    es = F.reverse(F.array_sort("es"))
+    recent = F.struct(F.transform(es, lambda x: x["a"]).alias("accessionNumber"),
+                      F.transform(es, lambda x: x["f"]).alias("form"),
+                      F.transform(es, lambda x: F.date_format(x["d"], "yyyy-MM-dd")).alias("filingDate"))
+    return g.select(F.to_json(F.struct(F.col("cik"), F.struct(recent.alias("recent")).alias("filings")))
+                    .alias("value"))
