@@ -204,3 +204,33 @@ def filing_index_json(orders: DataFrame) -> DataFrame:
                       F.transform(es, lambda x: F.date_format(x["d"], "yyyy-MM-dd")).alias("filingDate"))
     return g.select(F.to_json(F.struct(F.col("cik"), F.struct(recent.alias("recent")).alias("filings")))
                     .alias("value"))
+
+
+# events -> insider trades and daily price bars ---------------------------------
+# ticker = the user; 'purchase' / 'click' are open-market buys / sales,
+# 'signup' / 'error' are grants / gifts (filtered out by F3); 'view' events are
+# price ticks whose last value of the day is the close.
+EVENT_TRADE_SQL = {
+    "ticker": "format_string('U%03d', user_id)",
+    "filing_ts": "ts",
+    "trade_date": "date_sub(CAST(ts AS DATE), CAST(event_id % 3 AS INT))",
+    "insider_name": "'Insider ' || CAST(event_id % 7 AS STRING)",
+    "title": "CASE CAST(event_id % 4 AS INT) WHEN 0 THEN 'CEO' WHEN 1 THEN 'Director' WHEN 2 THEN '10% Owner' ELSE 'No Title' END",
+    "trade_type": ("CASE event_type WHEN 'purchase' THEN 'P - Purchase' WHEN 'click' THEN 'S - Sale' "
+                   "WHEN 'signup' THEN 'A - Grant' ELSE 'G - Gift' END"),
+    "price": "value",
+    "qty": "CASE WHEN event_type = 'click' THEN -(event_id % 100 + 1) ELSE event_id % 100 + 1 END",
+}
+
+
+def event_trades(events: DataFrame) -> DataFrame:
+    return events.where(F.col("event_type") != "view").select(
+        *[F.expr(v).alias(k) for k, v in EVENT_TRADE_SQL.items()])
+
+
+def event_prices(events: DataFrame) -> DataFrame:
+    """Daily close per ticker: the last 'view' value of the day (a partial
+    aggregate per (ticker, day))."""
+    v = events.where(F.col("event_type") == "view")
+    return (v.groupBy(F.expr(EVENT_TRADE_SQL["ticker"]).alias("ticker"), F.to_date("ts").alias("date"))
+            .agg(F.max_by("value", "ts").alias("close")))

@@ -36,3 +36,4 @@ from tradewell.plans import q_scalars  # noqa: E402,F401
 from tradewell.plans import q_store  # noqa: E402,F401
 from tradewell.plans import q_filings  # noqa: E402,F401
 from tradewell.plans import q_resolve  # noqa: E402,F401
+from tradewell.plans import q_events  # noqa: E402,F401
