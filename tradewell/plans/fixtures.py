@@ -234,3 +234,47 @@ def event_prices(events: DataFrame) -> DataFrame:
     v = events.where(F.col("event_type") == "view")
     return (v.groupBy(F.expr(EVENT_TRADE_SQL["ticker"]).alias("ticker"), F.to_date("ts").alias("date"))
             .agg(F.max_by("value", "ts").alias("close")))
+
+
+# lineitem -> screener pages ------------------------------------------------------
+# One page per lineitem row (bounded by construction): a first tbody (the
+# filter form) and, unless the row is a returned open item, a second tbody with
+# one 16-cell row. Ticker pages group ten suppliers each.
+def _money(cents_sql: str) -> str:
+    from tradewell.plans.oracle import money_text
+    return money_text(cents_sql)
+
+
+SCREEN_SQL = {
+    "page_ticker": "'T' || CAST(l_suppkey % 10 AS STRING)",
+    "single": "l_returnflag = 'N' AND l_linestatus = 'O'",
+    "sign": "CASE l_returnflag WHEN 'R' THEN '-' ELSE '+' END",
+    "cents": "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)",
+    "qty_abs": "CAST(l_quantity AS BIGINT) * l_partkey",
+}
+
+
+def screener_pages(lineitem: DataFrame) -> DataFrame:
+    s = SCREEN_SQL
+    td = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
+    e = lambda x: F.expr(x)
+    cells = [
+        F.when(e("l_linestatus = 'F'"), F.lit("D")).otherwise(F.lit("")),
+        F.when(e("l_linenumber = 7"), F.lit("bad")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")),
+        F.date_format(F.date_sub(F.to_date("l_shipdate"), 2), "yyyy-MM-dd"),
+        F.concat(F.lit('<a href="/'), e(s["page_ticker"]), F.lit('">'), e(s["page_ticker"]), F.lit("</a>")),
+        F.concat(F.lit('<a href="/insider/1">Doe &amp; Co '), F.col("l_partkey").cast("string"), F.lit("</a>")),
+        F.when(e("l_discount > 0.05"), F.lit("CEO; Dir")).otherwise(F.lit("Dir")),
+        e("CASE l_returnflag WHEN 'A' THEN 'P - Purchase' WHEN 'R' THEN 'S - Sale' ELSE 'A - Grant' END"),
+        F.concat(F.lit("$"), e(_money(s["cents"]))),
+        F.concat(e(s["sign"]), F.split(e(_money(f"{s['qty_abs']} * 100")), r"\.").getItem(0)),
+        F.lit("1,000"), F.lit("+5%"),
+        F.concat(e(s["sign"]), F.lit("$"), e(_money(f"{s['cents']} * CAST(l_quantity AS BIGINT)"))),
+        F.lit("-2%"), F.lit(""), F.lit("+1%"), F.lit("&nbsp;"),
+    ]
+    data = F.concat(F.lit('<table class="tinytable"><thead><tr><th>X</th></tr></thead><tbody><tr>'),
+                    *[td(c) for c in cells], F.lit("</tr></tbody></table>"))
+    html = F.concat(F.lit('<html><body><form><table><tbody><tr><td>Filter</td></tr></tbody></table></form>'),
+                    F.when(e(s["single"]), F.lit("")).otherwise(data), F.lit("</body></html>"))
+    return lineitem.select(e(s["page_ticker"]).alias("page_ticker"), F.col("l_orderkey").alias("page_id"),
+                           html.alias("html"))
