@@ -38,3 +38,4 @@ from tradewell.plans import q_filings  # noqa: E402,F401
 from tradewell.plans import q_resolve  # noqa: E402,F401
 from tradewell.plans import q_events  # noqa: E402,F401
 from tradewell.plans import q_screener  # noqa: E402,F401
+from tradewell.plans import q_stream  # noqa: E402,F401
