@@ -20,10 +20,9 @@ TRADE_CODE_LABELS = {
 }
 UNKNOWN_LABEL = "Unknown"
 
-# The characters Python's str.split()/str.strip() treat as space.
-PY_WHITESPACE = ("\\t\\n\\x0b\\x0c\\r\\x1c\\x1d\\x1e\\x1f \\x85\\xa0\\u1680"
-                 "\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000")
-_WS = f"[{PY_WHITESPACE}]"
+# The characters Python's str.split() / str.strip() treat as space, by rule.
+PY_WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+_WS = "[" + "".join(f"\\u{ord(ch):04x}" for ch in PY_WS_CHARS) + "]"
 
 
 def _c(x) -> Column:
@@ -204,7 +203,8 @@ def coerce_date(text) -> Column:
 
 # R17 ------------------------------------------------------------------------
 def strip_ws(x) -> Column:
-    return F.regexp_replace(_c(x), f"^{_WS}+|{_WS}+$", "")
+    """Python ``str.strip()``: a character-set trim, no regex."""
+    return F.btrim(_c(x), F.lit(PY_WS_CHARS))
 
 
 def symbol(x) -> Column:

@@ -71,8 +71,10 @@ FROM lineitem"""
 
 
 # R2 in SQL. Python's whitespace set, in RE2 syntax.
-PY_WS_RE2 = (r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-             r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+from tradewell.functions.scalars import PY_WS_CHARS  # noqa: E402
+
+PY_WS_RE2 = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in PY_WS_CHARS) + "]"
+PY_WS_SQL = "(" + " || ".join(f"chr({ord(ch)})" for ch in PY_WS_CHARS) + ")"
 
 
 def normalize_name(x: str) -> str:
@@ -86,7 +88,7 @@ def normalize_name(x: str) -> str:
 
 
 def strip_ws(x: str) -> str:
-    return f"regexp_replace({x}, '^{PY_WS_RE2}+|{PY_WS_RE2}+$', '', 'g')"
+    return f"trim({x}, {PY_WS_SQL})"
 
 
 def owner_title(is_off: str, off_title: str, is_dir: str, is_ten: str, remarks: str) -> str:
