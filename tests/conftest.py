@@ -1,0 +1,27 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tradewell.session import get_spark
+    base = tempfile.mkdtemp(prefix="tradewell-tests-")
+    s = get_spark("local[*]", app="tradewell-tests", shuffle_partitions=8, extra={
+        "spark.sql.warehouse.dir": os.path.join(base, "warehouse"),
+        "spark.checkpoint.dir": os.path.join(base, "checkpoint"),
+    })
+    s.sparkContext.setCheckpointDir(os.path.join(base, "checkpoint"))
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def tmp_dir(tmp_path):
+    return str(tmp_path)
