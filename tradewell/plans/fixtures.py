@@ -178,10 +178,7 @@ WATCH_PARAM_SQL = [
 def watchlist_lines(customer: DataFrame, supplier: DataFrame):
     """(file lines, parameter symbols) as one-column DataFrames."""
     file_lines = customer.select(F.expr(WATCH_FILE_SQL.replace("chr(", "char(")).alias("symbol"))
-    params = None
-    for e in WATCH_PARAM_SQL:
-        p = supplier.select(F.expr(e).alias("symbol"))
-        params = p if params is None else params.unionByName(p)
+    params = supplier.select(F.explode(F.array(*[F.expr(e) for e in WATCH_PARAM_SQL])).alias("symbol"))
     return file_lines, params
 
 
