@@ -52,6 +52,8 @@ def test_page_cap(spark):
     df = spark.createDataFrame(rows, "page_ticker string, row_pos int, filing_ts timestamp_ntz")
     for c in ["trade_date", "insider_name", "qty", "price"]:
         df = df.withColumn(c, df.row_pos.cast("string") if c == "insider_name" else df.row_pos)
+    for c in ["value", "trade_type", "title", "x_flag"]:
+        df = df.withColumn(c, df.row_pos.cast("string"))
     kept = sc.page_cap(df, cap=10).collect()
     assert len(kept) == 10 and min(r.row_pos for r in kept) == 20
     plan = sc.page_cap(df, cap=10)._jdf.queryExecution().executedPlan().toString()
