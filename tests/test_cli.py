@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 import os
 
 from tradewell import cli
@@ -67,3 +68,17 @@ def test_screener_cli(spark, tmp_dir):
     assert rep.rows == 2
     rep = cli.run_screener(spark, cli.parser().parse_args(["screener", "AAPL", "--pages", pages, "-s", store]))
     assert read_store(spark, store).count() == 2              # merge: nothing new
+
+
+def test_corpus_partitions_are_pruned(spark, tmp_dir):
+    from tradewell.operators.resolve import select_documents
+    from tradewell.sources.sec import read_corpus
+    base = _land(tmp_dir)
+    compact_corpus(spark, os.path.join(base, "landing") + "/*", os.path.join(base, "corpus"), partitions=2)
+    corpus = read_corpus(spark, os.path.join(base, "corpus"))
+    index = spark.createDataFrame([("0000320193", "0000320193-24-000001")], "cik string, accession string")
+    ciks = spark.createDataFrame([("0000320193",)], "cik string")
+    docs = select_documents(ciks, index, corpus)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cik_prefix#[0-9]+ (= 0000|IN \(0000\))", plan)
+    assert [r.accession for r in docs.collect()] == ["0000320193-24-000001"]
