@@ -232,11 +232,6 @@ def py_ts_text(ts) -> Column:
     return F.when(micros != 0, F.concat(base, F.lit("."), F.date_format(ts, "SSSSSS"))).otherwise(base)
 
 
-def py_num_text(x) -> Column:
-    """Python text of a number for labels; NULL prints as ``nan`` / ``<NA>``."""
-    return _c(x).cast("string")
-
-
 # R23 ------------------------------------------------------------------------
 def micros_between(a, b) -> Column:
     return F.abs(F.unix_micros(_c(a).cast("timestamp")) - F.unix_micros(_c(b).cast("timestamp")))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tradewell.operators.combine import combine_transactions
 from tradewell.operators.filings import REASONS, TX_REASONS, parse_filings
 from tradewell.plans import fixtures as fx
