@@ -89,3 +89,24 @@ def test_event_study_offsets(spark):
     assert [r.label_y for r in out] == [100.0 * 0.7, 100.0 * 1.2, 100.0 * 0.7]
     empty = ev.event_study(trades, bars_df(spark, []), D(2024, 1, 1), D(2024, 1, 31))
     assert empty.count() == 0
+
+
+def test_nearest_per_trade_anchors_equal_brute_force(spark):
+    """Raw per-trade anchors (many per day): same answer as exhaustive argmin."""
+    events = fx.table(spark, "/root/testdata/sf0.001", "events")
+    trades = fx.event_trades(events).select("ticker", "filing_ts")
+    prices = fx.event_prices(events)
+    fast = sorted((r.ticker, r.filing_ts, r.bar_date, r.close)
+                  for r in ev.nearest_bar(trades, prices, ts_col="filing_ts").collect())
+    bars = {}
+    for r in prices.collect():
+        bars.setdefault(r.ticker, []).append((r.date, r.close))
+    brute = []
+    for r in trades.collect():
+        cands = bars.get(r.ticker, [])
+        if not cands:
+            brute.append((r.ticker, r.filing_ts, None, None))
+            continue
+        best = min(cands, key=lambda b: (abs((dt.datetime.combine(b[0], dt.time()) - r.filing_ts).total_seconds()), b[0]))
+        brute.append((r.ticker, r.filing_ts, best[0], best[1]))
+    assert fast == sorted(brute)

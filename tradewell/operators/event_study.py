@@ -8,10 +8,10 @@ A4/A5  one roll-up row per (ticker, filing day): the day's first filing time
        The label text is kept *per trade line* (``label_lines``); a day's
        label is the concatenation of its lines in O1 order (``render_label``),
        done for the days being drawn, never as one unbounded group.
-J4     nearest bar to each anchor, both directions, tie to the earlier bar,
-       by one window per ticker over the union of anchors and bars (no
-       Cartesian product). Both sides have at most one row per (ticker, day),
-       so a window partition is bounded by the calendar, not by data volume.
+J4     nearest bar to each anchor, both directions, tie to the earlier bar:
+       one window per ticker over distinct anchor days and bars (bounded by
+       the calendar, not by the number of anchors), then an equi-join of the
+       anchors on (ticker, day). No Cartesian product.
 W3     alternating label offset: close x 0.7 on even, x 1.2 on odd positions.
 """
 
@@ -91,23 +91,38 @@ def price_bars(prices: DataFrame, start: dt.datetime, end: dt.datetime) -> DataF
 def nearest_bar(anchors: DataFrame, bars: DataFrame, ts_col: str = "anchor_ts") -> DataFrame:
     """Each anchor row gets ``bar_date`` and ``close`` of
     the bar whose midnight is nearest to ``ts_col``; a tie goes to the earlier
-    bar; a ticker without bars gets NULLs."""
-    a = anchors.select("*", F.col(ts_col).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
-                       F.lit(None).cast("struct<bar_date: date, close: double>").alias("_bar"))
+    bar; a ticker without bars gets NULLs. ``bars`` has one row per
+    (ticker, date).
+
+    Bars sit at midnight, so the two candidates of an anchor -- the last bar
+    on or before its day and the first bar after it -- depend only on
+    (ticker, day). The window runs over the distinct anchor days and the
+    bars (both bounded by the calendar per ticker, however many anchors
+    there are); anchors then take their candidates by an equi-join on
+    (ticker, day) and keep the nearer one.
+    """
+    days = (anchors.select("ticker", F.to_date(F.col(ts_col)).alias("_day"))
+            .where(F.col("_day").isNotNull()).distinct())
+    d = days.select("ticker", F.col("_day").cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
+                    "_day", F.lit(None).cast("struct<bar_date: date, close: double>").alias("_bar"))
     b = bars.select("ticker", F.col("date").cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"),
+                    F.lit(None).cast("date").alias("_day"),
                     F.struct(F.col("date").alias("bar_date"), F.col("close")).alias("_bar"))
-    u = a.unionByName(b, allowMissingColumns=True)
     w = Window.partitionBy("ticker").orderBy("_t", "_kind")
     prev = F.last("_bar", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     nxt = F.first("_bar", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    u = u.select("*", prev.alias("_prev"), nxt.alias("_next")).where(F.col("_kind") == 1)
-    d_prev = S.micros_between(F.col("_t"), F.col("_prev.bar_date").cast("timestamp_ntz"))
-    d_next = S.micros_between(F.col("_t"), F.col("_next.bar_date").cast("timestamp_ntz"))
+    cand = (d.unionByName(b).select("ticker", "_day", "_kind", prev.alias("_prev"), nxt.alias("_next"))
+            .where(F.col("_kind") == 1).drop("_kind"))
+    a = anchors.withColumn("_day", F.to_date(F.col(ts_col)))
+    j = a.join(cand, ["ticker", "_day"], "left")
+    t = F.col(ts_col).cast("timestamp_ntz")
+    d_prev = S.micros_between(t, F.col("_prev.bar_date").cast("timestamp_ntz"))
+    d_next = S.micros_between(t, F.col("_next.bar_date").cast("timestamp_ntz"))
     pick = (F.when(F.col("_next").isNull(), F.col("_prev"))
             .when(F.col("_prev").isNull(), F.col("_next"))
             .when(d_prev <= d_next, F.col("_prev")).otherwise(F.col("_next")))
-    keep = [c for c in anchors.columns]
-    return u.select(*keep, pick.getField("bar_date").alias("bar_date"), pick.getField("close").alias("close"))
+    return j.select(*anchors.columns, pick.getField("bar_date").alias("bar_date"),
+                    pick.getField("close").alias("close"))
 
 
 def event_study(trades: DataFrame, prices: DataFrame, start: dt.datetime, end: dt.datetime,
