@@ -136,3 +136,20 @@ def test_combine_preserves_sums_and_order(spark):
     for r in rows:
         want[r[0]] = want.get(r[0], 0) + r[6]
     assert got == want
+
+
+def test_wall_clock_survives_dst_session_zone(spark):
+    """A filing accepted at 02:07 on a spring-forward day stays 02:07 even if
+    the session time zone skips that hour."""
+    from tradewell.functions.scalars import coerce_ts, py_ts_text, wall_text
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        out, _ = run(spark, [doc(EXAMPLE, accept="19960407020726")])
+        assert out.collect()[0].filing_ts == dt.datetime(1996, 4, 7, 2, 7, 26)
+        df = spark.createDataFrame([("1996-04-07 02:07:26.5",)], "t string").select(coerce_ts("t").alias("ts"))
+        r = df.select("ts", wall_text("ts").alias("w"), py_ts_text("ts").alias("p")).collect()[0]
+        assert (r.ts, r.w, r.p) == (dt.datetime(1996, 4, 7, 2, 7, 26, 500000), "1996-04-07 02:07:26",
+                                    "1996-04-07 02:07:26.500000")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -113,9 +113,20 @@ def signed_qty(qty, a_d) -> Column:
 
 
 # R8 -------------------------------------------------------------------------
+def _ntz(y, mo, d, h, mi, sec) -> Column:
+    """Wall-clock timestamp from parts, NULL if invalid. Built without any
+    session time zone (a parse to TIMESTAMP then a cast would move wall
+    times that fall in a DST gap of the session zone)."""
+    return F.try_make_timestamp_ntz(y.cast("int"), mo.cast("int"), d.cast("int"),
+                                    h.cast("int"), mi.cast("int"), sec.cast("decimal(16,6)"))
+
+
 def acceptance_ts(text) -> Column:
-    digits = F.regexp_extract(_c(text), r"<ACCEPTANCE-DATETIME>([0-9]+)", 1)
-    return F.try_to_timestamp(F.nullif(digits, F.lit("")), F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
+    """``<ACCEPTANCE-DATETIME>yyyyMMddHHmmss`` -> timestamp_ntz."""
+    digits = F.regexp_extract(_c(text), r"<ACCEPTANCE-DATETIME>([0-9]{14})", 1)
+    part = lambda a, n: F.substring(digits, a, n)
+    return F.when(digits != F.lit(""),
+                  _ntz(part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2), part(13, 2)))
 
 
 # R9 -------------------------------------------------------------------------
@@ -187,14 +198,17 @@ def delimiter_safe(title, sep: str) -> Column:
 
 
 # R16 ------------------------------------------------------------------------
-# Timestamp layouts accepted when coercing text.
-TS_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss",
-              "yyyy-MM-dd HH:mm", "yyyy-MM-dd"]
+# Accepted layouts: yyyy-MM-dd, then optionally [ T]HH:mm, :ss and .fraction.
+_TS_TEXT = r"^([0-9]{4})-([0-9]{2})-([0-9]{2})(?:[ T]([0-9]{2}):([0-9]{2})(?::([0-9]{2})(\.[0-9]{1,6})?)?)?$"
 
 
 def coerce_ts(text) -> Column:
+    """Text -> timestamp_ntz, bad -> NULL, with no session time zone."""
     t = strip_ws(text)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in TS_FORMATS]).cast("timestamp_ntz")
+    g = lambda i: F.regexp_extract(t, _TS_TEXT, i)
+    num = lambda i: F.when(g(i) != F.lit(""), g(i)).otherwise(F.lit("0"))
+    sec = F.concat(num(6), F.when(g(7) != F.lit(""), g(7)).otherwise(F.lit("")))
+    return F.when(t.rlike(_TS_TEXT), _ntz(g(1), g(2), g(3), num(4), num(5), sec))
 
 
 def coerce_date(text) -> Column:
@@ -224,14 +238,26 @@ def parse_param_date(text: str | None, default):
 
 
 # R19 ------------------------------------------------------------------------
+def wall_text(ts, fmt: str = "%04d-%02d-%02d %02d:%02d:%02d") -> Column:
+    """Text of a timestamp_ntz from its fields (year, month, day, hour,
+    minute, second, in that order; unused trailing fields are ignored).
+    ``date_format`` would first move the value into the session time zone,
+    which shifts wall times that fall in a DST gap."""
+    ts = _c(ts)
+    sec = F.floor(F.extract(F.lit("SECOND"), ts)).cast("int")
+    text = F.format_string(fmt, F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), sec)
+    return F.when(ts.isNotNull(), text)
+
+
 def py_ts_text(ts) -> Column:
     """``str(pandas.Timestamp)``: seconds, plus 6 fraction digits if non-zero."""
     ts = _c(ts)
-    base = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-    micros = F.unix_micros(ts.cast("timestamp")) % F.lit(1_000_000)
-    return F.when(micros != 0, F.concat(base, F.lit("."), F.date_format(ts, "SSSSSS"))).otherwise(base)
+    micros = ((F.extract(F.lit("SECOND"), ts) * F.lit(1_000_000)) % F.lit(1_000_000)).cast("int")
+    base = wall_text(ts)
+    return F.when(micros != 0, F.concat(base, F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(base)
 
 
 # R23 ------------------------------------------------------------------------
 def micros_between(a, b) -> Column:
-    return F.abs(F.unix_micros(_c(a).cast("timestamp")) - F.unix_micros(_c(b).cast("timestamp")))
+    """|a - b| in microseconds on wall-clock (timestamp_ntz) values."""
+    return F.abs(F.timestamp_diff("MICROSECOND", _c(a).cast("timestamp_ntz"), _c(b).cast("timestamp_ntz")))

@@ -28,13 +28,19 @@ OPEN_MARKET = ["P - Purchase", "S - Sale"]
 SEP = "\n----------------------\n"
 
 
+def ntz_literal(t: dt.datetime) -> F.Column:
+    """A wall-clock literal: text cast to timestamp_ntz, so neither the Python
+    process zone nor the session zone moves it."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def open_market_trades(trades: DataFrame, start: dt.datetime, end: dt.datetime,
                        tickers: DataFrame | list[str] | None = None) -> DataFrame:
     """F2 + F3 + F4. ``tickers`` is a list, a one-column DataFrame
     (``ticker``) joined as a semi join, or None for all tickers."""
     df = trades.where(F.col("trade_type").isin(*OPEN_MARKET)
-                      & (F.col("filing_ts") >= F.lit(start).cast("timestamp_ntz"))
-                      & (F.col("filing_ts") <= F.lit(end).cast("timestamp_ntz")))
+                      & (F.col("filing_ts") >= ntz_literal(start))
+                      & (F.col("filing_ts") <= ntz_literal(end)))
     if isinstance(tickers, list):
         df = df.where(F.col("ticker").isin(*tickers))
     elif tickers is not None:

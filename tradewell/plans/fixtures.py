@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewell.functions.scalars import signed_qty, trade_type
+from tradewell.functions.scalars import signed_qty, trade_type, wall_text
 from tradewell.session import spread
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -116,7 +116,7 @@ def filing_documents(orders: DataFrame, lineitem: DataFrame, defects: bool = Fal
     price = F.when(e["footnote_price"], F.lit('<footnoteId id="F1"/>')).otherwise(
         val(F.col("l_extendedprice").cast("string")))
     tx_inner = F.concat(
-        _opt(~d["no_date"], _el("transactionDate", val(F.date_format("l_shipdate", "yyyy-MM-dd")))),
+        _opt(~d["no_date"], _el("transactionDate", val(F.to_date("l_shipdate").cast("string")))),
         _opt(~d["no_code"], _el("transactionCoding", F.concat(
             F.lit("<transactionFormType>4</transactionFormType>"), _el("transactionCode", e["code"])))),
         _el("transactionAmounts", F.concat(
@@ -143,7 +143,7 @@ def filing_documents(orders: DataFrame, lineitem: DataFrame, defects: bool = Fal
     header = F.concat(
         F.lit("<SEC-DOCUMENT>"), e["accession"], F.lit(".txt\n<SEC-HEADER>\n"),
         _opt(~d["no_accept"], F.concat(F.lit("<ACCEPTANCE-DATETIME>"),
-                                       F.date_format(e["filing_ts"], "yyyyMMddHHmmss"), F.lit("\n"))),
+                                       wall_text(e["filing_ts"], "%04d%02d%02d%02d%02d%02d"), F.lit("\n"))),
         F.lit("CONFORMED SUBMISSION TYPE:\t4\n</SEC-HEADER>\n<DOCUMENT>\n<TYPE>4\n<TEXT>\n<XML>\n"))
     body = F.concat(header, doc, F.lit("\n</XML>\n</TEXT>\n</DOCUMENT>\n</SEC-DOCUMENT>\n"))
     return j.select(e["cik"].alias("cik"), e["accession"].alias("accession"),
@@ -198,7 +198,7 @@ def filing_index_json(orders: DataFrame) -> DataFrame:
     es = F.reverse(F.array_sort("es"))
     recent = F.struct(F.transform(es, lambda x: x["a"]).alias("accessionNumber"),
                       F.transform(es, lambda x: x["f"]).alias("form"),
-                      F.transform(es, lambda x: F.date_format(x["d"], "yyyy-MM-dd")).alias("filingDate"))
+                      F.transform(es, lambda x: x["d"].cast("string")).alias("filingDate"))
     return g.select(F.to_json(F.struct(F.col("cik"), F.struct(recent.alias("recent")).alias("filings")))
                     .alias("value"))
 
@@ -257,8 +257,8 @@ def screener_pages(lineitem: DataFrame) -> DataFrame:
     e = lambda x: F.expr(x)
     cells = [
         F.when(e("l_linestatus = 'F'"), F.lit("D")).otherwise(F.lit("")),
-        F.when(e("l_linenumber = 7"), F.lit("bad")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")),
-        F.date_format(F.date_sub(F.to_date("l_shipdate"), 2), "yyyy-MM-dd"),
+        F.when(e("l_linenumber = 7"), F.lit("bad")).otherwise(wall_text("l_shipdate")),
+        F.date_sub(F.to_date("l_shipdate"), 2).cast("string"),
         F.concat(F.lit('<a href="/'), e(s["page_ticker"]), F.lit('">'), e(s["page_ticker"]), F.lit("</a>")),
         F.concat(F.lit('<a href="/insider/1">Doe &amp; Co '), F.col("l_partkey").cast("string"), F.lit("</a>")),
         F.when(e("l_discount > 0.05"), F.lit("CEO; Dir")).otherwise(F.lit("Dir")),

@@ -144,18 +144,18 @@ def title_delimiter_q(spark, sf_dir):
 
 # R16 / R9 ----------------------------------------------------------------------
 # Filing and trade date texts from orders in several layouts, with junk.
-_FILED_SPARK = ("CASE o_orderpriority WHEN '1-URGENT' THEN date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') "
-                "WHEN '2-HIGH' THEN date_format(o_orderdate, 'yyyy-MM-dd') "
+_FILED_SPARK = ("CASE o_orderpriority WHEN '1-URGENT' THEN format_string('%04d-%02d-%02d %02d:%02d:%02d', year(o_orderdate), month(o_orderdate), day(o_orderdate), hour(o_orderdate), minute(o_orderdate), second(o_orderdate)) "
+                "WHEN '2-HIGH' THEN CAST(CAST(o_orderdate AS DATE) AS STRING) "
                 "WHEN '3-MEDIUM' THEN 'bad date' "
-                "WHEN '4-NOT SPECIFIED' THEN date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") "
+                "WHEN '4-NOT SPECIFIED' THEN format_string('%04d-%02d-%02dT%02d:%02d:%02d', year(o_orderdate), month(o_orderdate), day(o_orderdate), hour(o_orderdate), minute(o_orderdate), second(o_orderdate)) "
                 "ELSE NULL END")
 _FILED_DUCK = ("CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') "
                "WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%d') "
                "WHEN '3-MEDIUM' THEN 'bad date' "
                "WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') "
                "ELSE NULL END")
-_TRADE_SPARK = ("CASE o_orderstatus WHEN 'F' THEN date_format(o_orderdate, 'yyyy-MM-dd') || '-05:00' "
-                "WHEN 'O' THEN ' ' || date_format(o_orderdate, 'yyyy-MM-dd') || ' ' ELSE 'n/a' END")
+_TRADE_SPARK = ("CASE o_orderstatus WHEN 'F' THEN CAST(CAST(o_orderdate AS DATE) AS STRING) || '-05:00' "
+                "WHEN 'O' THEN ' ' || CAST(CAST(o_orderdate AS DATE) AS STRING) || ' ' ELSE 'n/a' END")
 _TRADE_DUCK = ("CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%Y-%m-%d') || '-05:00' "
                "WHEN 'O' THEN ' ' || strftime(o_orderdate, '%Y-%m-%d') || ' ' ELSE 'n/a' END")
 _TS_FMTS = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%d"]
