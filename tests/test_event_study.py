@@ -110,3 +110,12 @@ def test_nearest_per_trade_anchors_equal_brute_force(spark):
         best = min(cands, key=lambda b: (abs((dt.datetime.combine(b[0], dt.time()) - r.filing_ts).total_seconds()), b[0]))
         brute.append((r.ticker, r.filing_ts, best[0], best[1]))
     assert fast == sorted(brute)
+
+
+def test_per_day_path_equals_general_path(spark):
+    events = fx.table(spark, "/root/testdata/sf0.001", "events")
+    days = ev.day_rollup(fx.event_trades(events))
+    prices = fx.event_prices(events)
+    a = sorted(map(tuple, ev.nearest_bar(days, prices).collect()))
+    b = sorted(map(tuple, ev.nearest_bar(days, prices, per_day=True).collect()))
+    assert a == b and len(a) > 0

@@ -94,7 +94,8 @@ def price_bars(prices: DataFrame, start: dt.datetime, end: dt.datetime) -> DataF
     return prices.where((F.col("date") >= F.lit(start.date())) & (F.col("date") < F.lit(end.date())))
 
 
-def nearest_bar(anchors: DataFrame, bars: DataFrame, ts_col: str = "anchor_ts") -> DataFrame:
+def nearest_bar(anchors: DataFrame, bars: DataFrame, ts_col: str = "anchor_ts",
+                per_day: bool = False) -> DataFrame:
     """Each anchor row gets ``bar_date`` and ``close`` of
     the bar whose midnight is nearest to ``ts_col``; a tie goes to the earlier
     bar; a ticker without bars gets NULLs. ``bars`` has one row per
@@ -105,8 +106,12 @@ def nearest_bar(anchors: DataFrame, bars: DataFrame, ts_col: str = "anchor_ts")
     (ticker, day). The window runs over the distinct anchor days and the
     bars (both bounded by the calendar per ticker, however many anchors
     there are); anchors then take their candidates by an equi-join on
-    (ticker, day) and keep the nearer one.
+    (ticker, day) and keep the nearer one. ``per_day=True`` says the anchors
+    already hold at most one row per (ticker, day) (e.g. the day roll-up):
+    they then go into the window themselves, with no distinct and no join.
     """
+    if per_day:
+        return _nearest_in_window(anchors, bars, ts_col)
     days = (anchors.select("ticker", F.to_date(F.col(ts_col)).alias("_day"))
             .where(F.col("_day").isNotNull()).distinct())
     d = days.select("ticker", F.col("_day").cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
@@ -131,6 +136,25 @@ def nearest_bar(anchors: DataFrame, bars: DataFrame, ts_col: str = "anchor_ts")
                     pick.getField("close").alias("close"))
 
 
+def _nearest_in_window(anchors: DataFrame, bars: DataFrame, ts_col: str) -> DataFrame:
+    a = anchors.select("*", F.col(ts_col).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
+                       F.lit(None).cast("struct<bar_date: date, close: double>").alias("_bar"))
+    b = bars.select("ticker", F.col("date").cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"),
+                    F.struct(F.col("date").alias("bar_date"), F.col("close")).alias("_bar"))
+    w = Window.partitionBy("ticker").orderBy("_t", "_kind")
+    prev = F.last("_bar", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    nxt = F.first("_bar", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    u = (a.unionByName(b, allowMissingColumns=True)
+         .select("*", prev.alias("_prev"), nxt.alias("_next")).where(F.col("_kind") == 1))
+    d_prev = S.micros_between(F.col("_t"), F.col("_prev.bar_date").cast("timestamp_ntz"))
+    d_next = S.micros_between(F.col("_t"), F.col("_next.bar_date").cast("timestamp_ntz"))
+    pick = (F.when(F.col("_next").isNull(), F.col("_prev"))
+            .when(F.col("_prev").isNull(), F.col("_next"))
+            .when(d_prev <= d_next, F.col("_prev")).otherwise(F.col("_next")))
+    return u.select(*anchors.columns, pick.getField("bar_date").alias("bar_date"),
+                    pick.getField("close").alias("close"))
+
+
 def event_study(trades: DataFrame, prices: DataFrame, start: dt.datetime, end: dt.datetime,
                 tickers=None) -> DataFrame:
     """F2-F4 -> A4/A5 -> J4 -> W3/R20: one row per (ticker, filing day)."""
@@ -140,7 +164,7 @@ def event_study(trades: DataFrame, prices: DataFrame, start: dt.datetime, end: d
     if tickers is not None:
         bars = (bars.where(F.col("ticker").isin(*tickers)) if isinstance(tickers, list)
                 else bars.join(tickers.select("ticker"), "ticker", "left_semi"))
-    j = nearest_bar(days, bars).where(F.col("close").isNotNull())
+    j = nearest_bar(days, bars, per_day=True).where(F.col("close").isNotNull())
     w = Window.partitionBy("ticker").orderBy("anchor_ts")
     parity = ((F.row_number().over(w) - 1) % 2).cast("double")
     return j.select("*", (F.col("close") * (F.lit(0.7) + F.lit(0.5) * parity)).alias("label_y"))

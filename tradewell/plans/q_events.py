@@ -79,7 +79,7 @@ def day_direction_q(spark, sf_dir):
 
 @register("nearest_bar", _NEAREST_SQL)
 def nearest_bar_q(spark, sf_dir):
-    return ev.nearest_bar(ev.day_rollup(_om(spark, sf_dir)), _bars(spark, sf_dir)).where(
+    return ev.nearest_bar(ev.day_rollup(_om(spark, sf_dir)), _bars(spark, sf_dir), per_day=True).where(
         F.col("close").isNotNull())
 
 
