@@ -119,3 +119,18 @@ def test_per_day_path_equals_general_path(spark):
     a = sorted(map(tuple, ev.nearest_bar(days, prices).collect()))
     b = sorted(map(tuple, ev.nearest_bar(days, prices, per_day=True).collect()))
     assert a == b and len(a) > 0
+
+
+def test_price_csv_reader(spark, tmp_dir):
+    import os
+    from tradewell.sources.prices import read_price_csv
+    d = os.path.join(tmp_dir, "prices")
+    os.makedirs(d)
+    with open(os.path.join(d, "aapl.csv"), "w") as f:
+        f.write("Date,Open,High,Low,Close,Adj Close,Volume\n2024-01-02,1,2,0.5,185.64,185.1,100\n"
+                "2024-01-03,1,2,0.5,184.25,183.9,100\nbad,1,2,0.5,1,1,1\n2024-01-04,1,2,0.5,n/a,1,1\n")
+    with open(os.path.join(d, "MSFT.csv"), "w") as f:
+        f.write("Date,Close\n2024-01-02 00:00:00,370.87\n")
+    got = sorted(map(tuple, read_price_csv(spark, d).collect()))
+    assert got == [("AAPL", dt.date(2024, 1, 2), 185.64), ("AAPL", dt.date(2024, 1, 3), 184.25),
+                   ("MSFT", dt.date(2024, 1, 2), 370.87)]

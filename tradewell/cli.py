@@ -4,7 +4,7 @@
                                    --dictionary JSON --index DIR --corpus PARQUET
   python -m tradewell.cli screener [SYMBOL ...] [-f FILE] [-s STORE] [-a | -r] --pages PARQUET
   python -m tradewell.cli event-study TICKER [-sd YYYY-MM-DD] [-ed YYYY-MM-DD] [-s STORE]
-                                   --prices PARQUET [--out PARQUET]
+                                   --prices PATH [--prices-format parquet|csv] [--out PARQUET]
 
 Every job runs on Spark; nothing but the save report is brought to the
 driver. ``-n`` is accepted and ignored: Spark decides the parallelism.
@@ -16,8 +16,6 @@ import argparse
 import datetime as dt
 import sys
 
-from pyspark.sql import functions as F
-
 from tradewell.functions.scalars import parse_param_date, symbol
 from tradewell.operators.combine import combine_transactions
 from tradewell.operators.event_study import event_study
@@ -26,6 +24,7 @@ from tradewell.operators.resolve import limit_filings, resolve_ciks, select_docu
 from tradewell.operators.screener import screener_trades, table_cells
 from tradewell.session import get_spark
 from tradewell.sinks.store import resolve_mode, save_trades
+from tradewell.sources.prices import read_price_csv, read_price_table
 from tradewell.sources.sec import form4_only, read_corpus, read_filing_index, read_ticker_dictionary
 from tradewell.sources.store import read_store
 from tradewell.sources.watchlist import clean_watchlist, read_watchlist_file, watchlist_from_params
@@ -81,7 +80,8 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("-ed", help="end date YYYY-MM-DD (default: now)")
     e.add_argument("-s", dest="store", default=DEFAULT_STORE)
     e.add_argument("--format", default="parquet", choices=["parquet", "csv", "table"])
-    e.add_argument("--prices", required=True, help="Parquet with ticker, date, close")
+    e.add_argument("--prices", required=True, help="Parquet with ticker, date, close, or a folder of <TICKER>.csv")
+    e.add_argument("--prices-format", default="parquet", choices=["parquet", "csv"])
     e.add_argument("--out", help="write the result here (Parquet); default: show it")
     return p
 
@@ -112,7 +112,8 @@ def run_event_study(spark, args, now: dt.datetime | None = None):
     start = parse_param_date(args.sd, now - dt.timedelta(days=365))
     end = parse_param_date(args.ed, now)
     trades = read_store(spark, args.store, fmt=args.format)
-    prices = spark.read.parquet(args.prices).select("ticker", F.to_date("date").alias("date"), "close")
+    prices = (read_price_csv(spark, args.prices) if args.prices_format == "csv"
+              else read_price_table(spark, args.prices))
     return event_study(trades, prices, start, end, tickers=list(args.tickers))
 
 
