@@ -153,3 +153,10 @@ def test_wall_clock_survives_dst_session_zone(spark):
                                     "1996-04-07 02:07:26.500000")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_signed_value_option(spark):
+    df = spark.createDataFrame([(f"acc-0", doc(EXAMPLE))], "accession string, body string")
+    t, _ = parse_filings(df)
+    r = combine_transactions(t, header_cols=HEADER, signed_value=True).collect()[0]
+    assert (r.qty, r.value) == (-400, -4600.0)

@@ -29,7 +29,11 @@ VALUE_DECIMAL = "decimal(20,6)"
 
 def combine_transactions(tx: DataFrame, by_date: bool = False,
                          header_cols: list[str] | None = None,
-                         filing_key: str | list[str] = "accession") -> DataFrame:
+                         filing_key: str | list[str] = "accession",
+                         signed_value: bool = False) -> DataFrame:
+    """``signed_value=False`` keeps the reference's unsigned gross value (Q7);
+    True gives the value the sign of the quantity, as screener rows carry it,
+    so the same sale from both sources shares one dedup key."""
     header_cols = [c for c in (HEADER_COLS if header_cols is None else header_cols)
                    if c in tx.columns]
     fkeys = [filing_key] if isinstance(filing_key, str) else list(filing_key)
@@ -52,7 +56,9 @@ def combine_transactions(tx: DataFrame, by_date: bool = False,
         F.col("first_trade_date").alias("trade_date"),
         round_half_away(avg_price, 2).alias("price"),
         F.col("total_qty").alias("qty"),
-        round_half_away(total_value, 0).alias("value"),
+        (F.when(F.col("total_qty") < 0, -round_half_away(total_value, 0))
+         .otherwise(round_half_away(total_value, 0)) if signed_value
+         else round_half_away(total_value, 0)).alias("value"),
         "n_trades",
     )
     out = out.withColumn(
