@@ -139,7 +139,8 @@ def filing_documents(orders: DataFrame, lineitem: DataFrame, defects: bool = Fal
     remarks = _opt(e["remarks"].isNotNull(), _el("remarks", F.coalesce(e["remarks"], F.lit(""))))
     doc = F.concat(F.lit('<?xml version="1.0"?>\n<ownershipDocument><schemaVersion>X0508</schemaVersion>'),
                    issuer, owner, non_deriv, deriv, remarks, F.lit("</ownershipDocument>"))
-    doc = F.when(d["malformed"], F.substring(doc, 1, 300)).otherwise(doc)
+    # malformed: a mismatched closing tag, the rest of the document intact
+    doc = F.when(d["malformed"], F.replace(doc, F.lit("</issuer>"), F.lit("</issuer-broken>"))).otherwise(doc)
     header = F.concat(
         F.lit("<SEC-DOCUMENT>"), e["accession"], F.lit(".txt\n<SEC-HEADER>\n"),
         _opt(~d["no_accept"], F.concat(F.lit("<ACCEPTANCE-DATETIME>"),
