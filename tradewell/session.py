@@ -42,22 +42,29 @@ def get_spark(master: str | None = None, app: str = "tradewell",
     return spark
 
 
-def shared_dir(spark: SparkSession, sub: str) -> str:
-    """A folder under the cluster's shared checkpoint location.
+def checkpoint_base(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster. Only when it
-    is unset (local runs, tests) do we create one under the system temp dir.
+    ``spark.checkpoint.dir`` names it on a cluster (read from the session,
+    never overridden). Only when no checkpoint folder is configured at all --
+    local runs, tests -- is one created under the system temp dir and given
+    to the SparkContext.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+        base = spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="tradewell-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    path = os.path.join(base, sub) if "://" not in base else f"{base.rstrip('/')}/{sub}"
-    return path
+    elif not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def shared_dir(spark: SparkSession, sub: str) -> str:
+    """A folder under the shared checkpoint location (see checkpoint_base)."""
+    base = checkpoint_base(spark)
+    return os.path.join(base, sub) if "://" not in base else f"{base.rstrip('/')}/{sub}"
 
 
 def spread(df, min_partitions: int | None = None):
