@@ -75,7 +75,9 @@ def spread(df, min_partitions: int | None = None):
     enough splits and is returned unchanged, with no shuffle.
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(want) if have < want else df
