@@ -68,6 +68,10 @@ def test_screener_cli(spark, tmp_dir):
     assert rep.rows == 2
     rep = cli.run_screener(spark, cli.parser().parse_args(["screener", "AAPL", "--pages", pages, "-s", store]))
     assert read_store(spark, store).count() == 2              # merge: nothing new
+    capped = os.path.join(tmp_dir, "capped")
+    rep = cli.run_screener(spark, cli.parser().parse_args(["screener", "AAPL", "--pages", pages, "-s", capped,
+                                                           "--cap", "1"]))
+    assert rep.rows == 1 and read_store(spark, capped).collect()[0].trade_type == "S - Sale"   # newest row
 
 
 def test_corpus_partitions_are_pruned(spark, tmp_dir):

@@ -21,7 +21,7 @@ from tradewell.operators.combine import combine_transactions
 from tradewell.operators.event_study import event_study
 from tradewell.operators.filings import parse_filings
 from tradewell.operators.resolve import limit_filings, resolve_ciks, select_documents
-from tradewell.operators.screener import screener_trades, table_cells
+from tradewell.operators.screener import page_cap, screener_trades, table_cells
 from tradewell.session import get_spark
 from tradewell.sinks.store import resolve_mode, save_trades
 from tradewell.sources.prices import read_price_csv, read_price_table
@@ -62,6 +62,8 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("-f", help="file with one ticker or CIK per line")
     f.add_argument("-d", action="store_true", help="do not combine trades of different dates")
     f.add_argument("-l", type=int, default=None, help="filing limit per CIK (0 or absent: none)")
+    f.add_argument("--signed-value", action="store_true",
+                   help="give Value the sign of Qty, as screener rows carry it")
     f.add_argument("--dictionary", required=True)
     f.add_argument("--index", required=True)
     f.add_argument("--corpus", required=True)
@@ -72,6 +74,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("-f")
     s.add_argument("-n", "--processes", type=int, help="ignored: Spark sets the parallelism")
     s.add_argument("--pages", required=True, help="Parquet with ticker, html")
+    s.add_argument("--cap", type=int, default=None, help="keep the newest N rows per ticker page (site: 1000)")
     _store_args(s)
 
     e = sub.add_parser("event-study", help="filing days against the nearest close")
@@ -92,7 +95,7 @@ def run_filings(spark, args):
     index = limit_filings(form4_only(read_filing_index(spark, args.index)), args.l)
     docs = select_documents(ciks, index, read_corpus(spark, args.corpus))
     tx, _ = parse_filings(docs)
-    trades = combine_transactions(tx, by_date=args.d, header_cols=HEADER)
+    trades = combine_transactions(tx, by_date=args.d, header_cols=HEADER, signed_value=args.signed_value)
     return save_trades(trades, args.store, mode=resolve_mode(args.append, args.rewrite),
                        fmt=args.format, sep=args.sep)
 
@@ -103,6 +106,8 @@ def run_screener(spark, args):
     pages = pages.join(watch.withColumnRenamed("symbol", "ticker"), "ticker", "left_semi")
     rows = screener_trades(table_cells(pages, ["ticker"]).withColumnRenamed("ticker", "page_ticker"),
                            ["page_ticker"], sep=args.sep)
+    if args.cap:
+        rows = page_cap(rows, cap=args.cap)
     return save_trades(rows, args.store, mode=resolve_mode(args.append, args.rewrite),
                        fmt=args.format, sep=args.sep)
 
