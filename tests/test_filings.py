@@ -160,3 +160,127 @@ def test_signed_value_option(spark):
     t, _ = parse_filings(df)
     r = combine_transactions(t, header_cols=HEADER, signed_value=True).collect()[0]
     assert (r.qty, r.value) == (-400, -4600.0)
+
+
+REALISTIC = """<SEC-DOCUMENT>0001234567-24-000012.txt : 20240105
+<SEC-HEADER>0001234567-24-000012.hdr.sgml : 20240105
+<ACCEPTANCE-DATETIME>20240105163012
+ACCESSION NUMBER:\t\t0001234567-24-000012
+CONFORMED SUBMISSION TYPE:\t4
+PUBLIC DOCUMENT COUNT:\t\t2
+</SEC-HEADER>
+<DOCUMENT>
+<TYPE>4
+<SEQUENCE>1
+<FILENAME>form4.xml
+<TEXT>
+<XML>
+<?xml version="1.0"?>
+<ownershipDocument>
+    <schemaVersion>X0508</schemaVersion>
+    <documentType>4</documentType>
+    <periodOfReport>2024-01-03</periodOfReport>
+    <notSubjectToSection16>0</notSubjectToSection16>
+    <issuer>
+        <issuerCik>0000320193</issuerCik>
+        <issuerName>Example Corp &amp; Co</issuerName>
+        <issuerTradingSymbol>EXMP</issuerTradingSymbol>
+    </issuer>
+    <reportingOwner>
+        <reportingOwnerId>
+            <rptOwnerCik>0001111111</rptOwnerCik>
+            <rptOwnerName>O'NEIL MARY  K</rptOwnerName>
+        </reportingOwnerId>
+        <reportingOwnerAddress>
+            <rptOwnerStreet1>ONE EXAMPLE WAY</rptOwnerStreet1>
+            <rptOwnerCity>SPRINGFIELD</rptOwnerCity>
+        </reportingOwnerAddress>
+        <reportingOwnerRelationship>
+            <isDirector>false</isDirector>
+            <isOfficer>true</isOfficer>
+            <isTenPercentOwner>false</isTenPercentOwner>
+            <isOther>false</isOther>
+            <officerTitle>SVP, General Counsel</officerTitle>
+        </reportingOwnerRelationship>
+    </reportingOwner>
+    <nonDerivativeTable>
+        <nonDerivativeTransaction>
+            <securityTitle><value>Common Stock</value></securityTitle>
+            <transactionDate><value>2024-01-03</value></transactionDate>
+            <transactionCoding>
+                <transactionFormType>4</transactionFormType>
+                <transactionCode>S</transactionCode>
+                <equitySwapInvolved>0</equitySwapInvolved>
+                <footnoteId id="F1"/>
+            </transactionCoding>
+            <transactionAmounts>
+                <transactionShares><value>1000</value></transactionShares>
+                <transactionPricePerShare><value>185.5</value><footnoteId id="F2"/></transactionPricePerShare>
+                <transactionAcquiredDisposedCode><value>D</value></transactionAcquiredDisposedCode>
+            </transactionAmounts>
+            <postTransactionAmounts><sharesOwnedFollowingTransaction><value>5000</value></sharesOwnedFollowingTransaction></postTransactionAmounts>
+            <ownershipNature><directOrIndirectOwnership><value>D</value></directOrIndirectOwnership></ownershipNature>
+        </nonDerivativeTransaction>
+        <nonDerivativeTransaction>
+            <securityTitle><value>Common Stock</value></securityTitle>
+            <transactionDate><value>2024-01-04</value></transactionDate>
+            <transactionCoding><transactionFormType>4</transactionFormType><transactionCode>S</transactionCode><equitySwapInvolved>0</equitySwapInvolved></transactionCoding>
+            <transactionAmounts>
+                <transactionShares><value>500</value></transactionShares>
+                <transactionPricePerShare><value>186.25</value></transactionPricePerShare>
+                <transactionAcquiredDisposedCode><value>D</value></transactionAcquiredDisposedCode>
+            </transactionAmounts>
+        </nonDerivativeTransaction>
+        <nonDerivativeHolding>
+            <securityTitle><value>Common Stock</value></securityTitle>
+            <postTransactionAmounts><sharesOwnedFollowingTransaction><value>100</value></sharesOwnedFollowingTransaction></postTransactionAmounts>
+        </nonDerivativeHolding>
+    </nonDerivativeTable>
+    <derivativeTable>
+        <derivativeTransaction>
+            <securityTitle><value>Restricted Stock Unit</value></securityTitle>
+            <conversionOrExercisePrice><footnoteId id="F3"/></conversionOrExercisePrice>
+            <transactionDate><value>2024-01-02</value></transactionDate>
+            <transactionCoding><transactionFormType>4</transactionFormType><transactionCode>M</transactionCode><equitySwapInvolved>0</equitySwapInvolved></transactionCoding>
+            <transactionAmounts>
+                <transactionShares><value>200</value></transactionShares>
+                <transactionPricePerShare><value>0</value></transactionPricePerShare>
+                <transactionAcquiredDisposedCode><value>D</value></transactionAcquiredDisposedCode>
+            </transactionAmounts>
+            <exerciseDate><footnoteId id="F4"/></exerciseDate>
+            <underlyingSecurity><underlyingSecurityTitle><value>Common Stock</value></underlyingSecurityTitle>
+                <underlyingSecurityShares><value>200</value></underlyingSecurityShares></underlyingSecurity>
+        </derivativeTransaction>
+    </derivativeTable>
+    <footnotes>
+        <footnote id="F1">Sold under a 10b5-1 plan.</footnote>
+        <footnote id="F2">Weighted average price.</footnote>
+    </footnotes>
+    <remarks>Exhibit 24 - Power of Attorney</remarks>
+    <ownerSignature><signatureName>/s/ Agent, attorney-in-fact</signatureName><signatureDate>2024-01-05</signatureDate></ownerSignature>
+</ownershipDocument>
+</XML>
+</TEXT>
+</DOCUMENT>
+<DOCUMENT>
+<TYPE>EX-24
+<SEQUENCE>2
+<TEXT>
+Power of attorney text.
+</TEXT>
+</DOCUMENT>
+</SEC-DOCUMENT>
+"""
+
+
+def test_realistic_submission(spark):
+    out, rej = run(spark, [REALISTIC])
+    assert rej.count() == 0
+    rows = {r.trade_type: r for r in out.collect()}
+    s = rows["S - Sale"]
+    assert (s.x_flag, s.filing_ts, s.ticker, s.insider_name, s.title) == (
+        "DM", dt.datetime(2024, 1, 5, 16, 30, 12), "EXMP", "O'neil Mary K", "SVP, General Counsel")
+    # 1000 @ 185.5 + 500 @ 186.25 -> 278625, VWAP 185.75
+    assert (s.qty, s.value, s.price, s.trade_date) == (-1500, 278625.0, 185.75, dt.date(2024, 1, 3))
+    m = rows["M - OptEx"]
+    assert (m.x_flag, m.qty, m.price, m.value) == ("D", -200, 0.0, 0.0)
