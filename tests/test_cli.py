@@ -32,7 +32,7 @@ def _land(tmp_dir):
 
 def test_filings_then_event_study(spark, tmp_dir):
     base = _land(tmp_dir)
-    compact_corpus(spark, os.path.join(base, "landing") + "/*", os.path.join(base, "corpus"), partitions=2)
+    cli.main(["compact", os.path.join(base, "landing") + "/*", os.path.join(base, "corpus")])
     store = os.path.join(tmp_dir, "store")
     common = ["--dictionary", os.path.join(base, "tickers.json"), "--index", os.path.join(base, "index"),
               "--corpus", os.path.join(base, "corpus"), "-s", store]

@@ -3,6 +3,7 @@
   python -m tradewell.cli filings  [SYMBOL ...] [-f FILE] [-s STORE] [-d] [-l N] [-a | -r]
                                    --dictionary JSON --index DIR --corpus PARQUET
   python -m tradewell.cli screener [SYMBOL ...] [-f FILE] [-s STORE] [-a | -r] --pages PARQUET
+  python -m tradewell.cli compact  SRC_GLOB DST      (landed <cik>/<accession>.txt -> corpus Parquet)
   python -m tradewell.cli event-study TICKER [-sd YYYY-MM-DD] [-ed YYYY-MM-DD] [-s STORE]
                                    --prices PATH [--prices-format parquet|csv] [--out PARQUET]
 
@@ -25,7 +26,7 @@ from tradewell.operators.screener import page_cap, screener_trades, table_cells
 from tradewell.session import get_spark
 from tradewell.sinks.store import resolve_mode, save_trades
 from tradewell.sources.prices import read_price_csv, read_price_table
-from tradewell.sources.sec import form4_only, read_corpus, read_filing_index, read_ticker_dictionary
+from tradewell.sources.sec import compact_corpus, form4_only, read_corpus, read_filing_index, read_ticker_dictionary
 from tradewell.sources.store import read_store
 from tradewell.sources.watchlist import clean_watchlist, read_watchlist_file, watchlist_from_params
 
@@ -77,6 +78,10 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--cap", type=int, default=None, help="keep the newest N rows per ticker page (site: 1000)")
     _store_args(s)
 
+    c = sub.add_parser("compact", help="landed submission texts -> corpus Parquet")
+    c.add_argument("src", help="e.g. landing/*  (files <cik>/<accession>.txt)")
+    c.add_argument("dst")
+
     e = sub.add_parser("event-study", help="filing days against the nearest close")
     e.add_argument("tickers", nargs="+")
     e.add_argument("-sd", help="start date YYYY-MM-DD (default: a year before now)")
@@ -129,6 +134,8 @@ def main(argv=None) -> int:
         print(run_filings(spark, args))
     elif args.cmd == "screener":
         print(run_screener(spark, args))
+    elif args.cmd == "compact":
+        compact_corpus(spark, args.src, args.dst)
     else:
         out = run_event_study(spark, args)
         if args.out:
