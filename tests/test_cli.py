@@ -56,6 +56,10 @@ def test_filings_then_event_study(spark, tmp_dir):
     default = cli.run_event_study(spark, cli.parser().parse_args(
         ["event-study", "AAPL", "-sd", "bad-date", "-s", store, "--prices", prices]), now=dt.datetime(2024, 6, 1))
     assert default.count() == 2                               # bad start falls back to a year before now
+    lines = cli.run_label_lines(spark, cli.parser().parse_args(
+        ["event-study", "AAPL", "-sd", "2024-01-01", "-ed", "2024-01-31", "-s", store, "--prices", prices]))
+    assert lines.count() == read_store(spark, store).count()  # one line per open-market trade
+    assert all(r.line.startswith("TD: ") for r in lines.collect())
 
 
 def test_screener_cli(spark, tmp_dir):

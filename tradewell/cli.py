@@ -19,7 +19,7 @@ import sys
 
 from tradewell.functions.scalars import parse_param_date, symbol
 from tradewell.operators.combine import combine_transactions
-from tradewell.operators.event_study import event_study
+from tradewell.operators.event_study import event_study, label_lines, open_market_trades
 from tradewell.operators.filings import parse_filings
 from tradewell.operators.resolve import limit_filings, resolve_ciks, select_documents
 from tradewell.operators.screener import page_cap, screener_trades, table_cells
@@ -91,6 +91,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--prices", required=True, help="Parquet with ticker, date, close, or a folder of <TICKER>.csv")
     e.add_argument("--prices-format", default="parquet", choices=["parquet", "csv"])
     e.add_argument("--out", help="write the result here (Parquet); default: show it")
+    e.add_argument("--lines-out", help="also write the label lines (one per trade, with O1 sort keys)")
     return p
 
 
@@ -117,10 +118,21 @@ def run_screener(spark, args):
                        fmt=args.format, sep=args.sep)
 
 
-def run_event_study(spark, args, now: dt.datetime | None = None):
+def _range(args, now: dt.datetime | None):
     now = now or dt.datetime.now()
-    start = parse_param_date(args.sd, now - dt.timedelta(days=365))
-    end = parse_param_date(args.ed, now)
+    return parse_param_date(args.sd, now - dt.timedelta(days=365)), parse_param_date(args.ed, now)
+
+
+def run_label_lines(spark, args, now: dt.datetime | None = None):
+    """Label lines of the chosen tickers and range: a day's label is its
+    lines in O1 order (``event_study.render_label``)."""
+    start, end = _range(args, now)
+    om = open_market_trades(read_store(spark, args.store, fmt=args.format), start, end, list(args.tickers))
+    return label_lines(om)
+
+
+def run_event_study(spark, args, now: dt.datetime | None = None):
+    start, end = _range(args, now)
     trades = read_store(spark, args.store, fmt=args.format)
     prices = (read_price_csv(spark, args.prices) if args.prices_format == "csv"
               else read_price_table(spark, args.prices))
@@ -138,6 +150,8 @@ def main(argv=None) -> int:
         compact_corpus(spark, args.src, args.dst)
     else:
         out = run_event_study(spark, args)
+        if args.lines_out:
+            run_label_lines(spark, args).write.mode("overwrite").parquet(args.lines_out)
         if args.out:
             out.write.mode("overwrite").parquet(args.out)
         else:
