@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import os
 import sys
 
 from tradewell.functions.scalars import parse_param_date, symbol
@@ -30,14 +31,17 @@ from tradewell.sources.sec import compact_corpus, form4_only, read_corpus, read_
 from tradewell.sources.store import read_store
 from tradewell.sources.watchlist import clean_watchlist, read_watchlist_file, watchlist_from_params
 
-DEFAULT_STORE = "scrapes"
+# Defaults may come from the environment (store path LINK, CSV separator
+# CSV_SEP); the command-line options override them.
+DEFAULT_STORE = os.environ.get("LINK", "scrapes")
+DEFAULT_SEP = os.environ.get("CSV_SEP", ";")
 HEADER = ["x_flag", "filing_ts", "ticker", "insider_name", "title"]
 
 
 def _store_args(p: argparse.ArgumentParser):
     p.add_argument("-s", dest="store", default=DEFAULT_STORE, help="store path (or table name)")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "table"])
-    p.add_argument("--sep", default=";", help="CSV separator")
+    p.add_argument("--sep", default=DEFAULT_SEP, help="CSV separator")
     g = p.add_mutually_exclusive_group()
     g.add_argument("-a", "--append", action="store_true", help="append without deduplication")
     g.add_argument("-r", "--rewrite", action="store_true", help="replace the store")
