@@ -22,7 +22,6 @@ UNKNOWN_LABEL = "Unknown"
 
 # The characters Python's str.split() / str.strip() treat as space, by rule.
 PY_WS_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
-_WS = "[" + "".join(f"\\u{ord(ch):04x}" for ch in PY_WS_CHARS) + "]"
 
 
 def _c(x) -> Column:
@@ -56,7 +55,9 @@ def _capitalize(p: Column) -> Column:
 def normalize_name(name) -> Column:
     """Whitespace split, capitalize each word (and each hyphen part), the
     ``Mc`` rule on the third letter, single-space join."""
-    words = F.filter(F.split(_c(name), f"{_WS}+"), lambda w: w != F.lit(""))
+    # every Python whitespace char -> ' ', then a literal split (no regex)
+    spaced = F.translate(_c(name), PY_WS_CHARS, " " * len(PY_WS_CHARS))
+    words = F.filter(F.split(spaced, " "), lambda w: w != F.lit(""))
 
     def fix(w):
         cap = F.array_join(F.transform(F.split(w, "-", -1), _capitalize), "-")
