@@ -204,12 +204,15 @@ _TS_TEXT = r"^([0-9]{4})-([0-9]{2})-([0-9]{2})(?:[ T]([0-9]{2}):([0-9]{2})(?::([
 
 
 def coerce_ts(text) -> Column:
-    """Text -> timestamp_ntz, bad -> NULL, with no session time zone."""
+    """Text -> timestamp_ntz, bad -> NULL, with no session time zone. One
+    anchored match checks the layout; the fields then sit at fixed offsets
+    (length 10: date, 16: + HH:mm, 19: + :ss, more: + fraction)."""
     t = strip_ws(text)
-    g = lambda i: F.regexp_extract(t, _TS_TEXT, i)
-    num = lambda i: F.when(g(i) != F.lit(""), g(i)).otherwise(F.lit("0"))
-    sec = F.concat(num(6), F.when(g(7) != F.lit(""), g(7)).otherwise(F.lit("")))
-    return F.when(t.rlike(_TS_TEXT), _ntz(g(1), g(2), g(3), num(4), num(5), sec))
+    n = F.length(t)
+    part = lambda a, k, need: F.when(n >= need, F.substring(t, a, k)).otherwise(F.lit("0"))
+    return F.when(t.rlike(_TS_TEXT),
+                  _ntz(F.substring(t, 1, 4), F.substring(t, 6, 2), F.substring(t, 9, 2),
+                       part(12, 2, 16), part(15, 2, 16), part(18, 9, 19)))
 
 
 def coerce_date(text) -> Column:
