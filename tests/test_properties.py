@@ -78,3 +78,36 @@ def test_merge_laws(spark, tmp_path, existing, new):
         k = tuple(r[i] for i in idx)
         if k in ex_keys:
             assert any(tuple(e) == r for e in existing)
+
+
+LAYOUTS = [("{y:04d}-{mo:02d}-{d:02d}", "%Y-%m-%d"),
+           ("{y:04d}-{mo:02d}-{d:02d} {h:02d}:{mi:02d}", "%Y-%m-%d %H:%M"),
+           ("{y:04d}-{mo:02d}-{d:02d} {h:02d}:{mi:02d}:{s:02d}", "%Y-%m-%d %H:%M:%S"),
+           ("{y:04d}-{mo:02d}-{d:02d}T{h:02d}:{mi:02d}:{s:02d}", "%Y-%m-%dT%H:%M:%S"),
+           ("{y:04d}-{mo:02d}-{d:02d} {h:02d}:{mi:02d}:{s:02d}.{f}", "%Y-%m-%d %H:%M:%S.%f")]
+
+
+def _model(text):
+    for _, fmt in LAYOUTS:
+        try:
+            return dt.datetime.strptime(text.strip(), fmt)
+        except ValueError:
+            continue
+    return None
+
+
+stamp = st.builds(lambda y, mo, d, h, mi, s, f, i, pad: pad + LAYOUTS[i][0].format(
+    y=y, mo=mo, d=d, h=h, mi=mi, s=s, f=f) + pad,
+    st.integers(1900, 2100), st.integers(0, 13), st.integers(0, 32), st.integers(0, 24),
+    st.integers(0, 60), st.integers(0, 60), st.sampled_from(["5", "25", "123456", "000001"]),
+    st.integers(0, len(LAYOUTS) - 1), st.sampled_from(["", " ", "\t"]))
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(stamp, st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=126), max_size=12)),
+                min_size=1, max_size=30))
+def test_coerce_ts_matches_strptime(spark, texts):
+    from tradewell.functions.scalars import coerce_ts
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.y for r in df.select(coerce_ts("t").alias("y")).collect()]
+    assert got == [_model(t) for t in texts]
