@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tradewell.llm import token_counts  # noqa: F401
+from tradewell.llm import sharding, token_counts  # noqa: F401
 from tradewell.llm.common import ORACLE, QUERIES  # noqa: F401
