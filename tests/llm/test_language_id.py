@@ -1,0 +1,44 @@
+import zlib
+
+import numpy as np
+
+from tradewell.llm.common import table
+from tradewell.llm.language_id import codewords, predict_language
+from tradewell.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    lang = {r.doc_id: (r.lang, r.text) for r in table(spark, SF, "documents").collect()}
+    rows = QUERIES["op10_language_id"](spark, SF).collect()
+    assert len(rows) == len(lang)
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in lang if zlib.crc32(str(i).encode()) % 5 == 0}
+    good = [r.lang_pred == lang[r.doc_id][0] for r in held if len(lang[r.doc_id][1].split()) > 20]
+    assert np.mean(good) > 0.98
+    assert all(0 <= r.score <= 1 for r in rows)
+    again = {r.doc_id: r.score for r in QUERIES["op10_language_id"](spark, SF).collect()}
+    assert again == {r.doc_id: r.score for r in rows}
+
+
+def test_codewords_differ():
+    for n in (1, 2, 4, 6, 9, 40):
+        c = codewords(n)
+        assert len({tuple(r) for r in c}) == n
+    assert codewords(4).shape == (4, 7)
+
+
+def test_odd_rows(spark):
+    rows = [(i, "the cat and the dog " * 5, "en", 1) for i in range(20)]
+    rows += [(100 + i, "der hund und die katze " * 5, "de", 1) for i in range(20)]
+    rows += [(None, None, None, 1), (300, "", "en", 1), (301, "12 .. 34", "de", 1), (302, "中文", None, 1),
+             (303, "the the the " * 30_000, None, 1), (303, "the the the " * 30_000, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int")
+    got = predict_language(df).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    assert by[None].lang_pred == by[300].lang_pred == by[301].lang_pred == "und" and by[301].score == 0
+    assert by[302].lang_pred in ("en", "de") and by[303].lang_pred == "en" and by[105].lang_pred == "de"
+    assert predict_language(df.limit(0)).count() == 0
+    assert {r.lang_pred for r in predict_language(df.where("lang is null")).collect()} == {"und"}
