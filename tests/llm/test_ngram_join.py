@@ -1,0 +1,79 @@
+import random
+import re
+
+import pytest
+
+from tradewell.llm import ngram_join
+from tradewell.llm.common import table
+from tradewell.llm.ngram_join import near_duplicates
+from tradewell.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute(texts):
+    sets = {}
+    for i, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    top = {i: i for i in texts}
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+    ids = sorted(texts)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1:]:
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                p, q = find(i), find(j)
+                top[max(p, q)] = min(p, q)
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def result(df):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
+
+
+def test_query_equals_brute_force(spark):
+    texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
+    assert result(QUERIES["op7_ngram_jaccard_join"](spark, SF)) == brute(texts)
+
+
+@pytest.mark.parametrize("tile", [4096, 5])
+def test_drifting_copies(spark, monkeypatch, tile):
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    rnd = random.Random(tile)
+    vocab = [f"w{i}" for i in range(400)]
+    common = [rnd.choice(vocab) for _ in range(40)]
+    texts, k = {}, 0
+    for _ in range(12):
+        base = [rnd.choice(vocab) for _ in range(rnd.randrange(6, 260))]
+        if rnd.random() < 0.5:
+            base = base + common
+        for _ in range(rnd.randrange(1, 14)):
+            w = list(base)
+            for _ in range(rnd.randrange(0, 6)):
+                w[rnd.randrange(len(w))] = rnd.choice(vocab)
+            if rnd.random() < 0.3:
+                base = w  # drift: chains of links
+            if rnd.random() < 0.2:
+                w = w[:-rnd.randrange(1, 5)]
+            texts[k] = rnd.choice([" ", "\n", " \t"]).join(w).title()
+            k += 1
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    assert result(near_duplicates(df)) == brute(texts)
+
+
+def test_odd_rows(spark):
+    long = "x y z " * 30_000
+    rows = [(None, "a b", 1), (1, None, 1), (2, "", 1), (3, " \n", 1), (4, "a b", 1), (5, "A  b", 1), (5, "A  b", 1),
+            (6, "b a", 1), (7, long, 1), (8, long + "q", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: (r.n_shingles, r.component_id) for r in got}
+    assert by == {None: (1, None), 1: (0, 1), 2: (0, 2), 3: (0, 3), 4: (1, 4), 5: (1, 4), 6: (1, 6), 7: (3, 7),
+                  8: (4, 8)}
+    assert near_duplicates(df.limit(0)).count() == 0

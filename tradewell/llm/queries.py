@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tradewell.llm import language_id, quality_classifier, sharding, token_counts  # noqa: F401
+from tradewell.llm import language_id, ngram_join, quality_classifier, sharding, token_counts  # noqa: F401
 from tradewell.llm.common import ORACLE, QUERIES  # noqa: F401
