@@ -1,0 +1,91 @@
+import re
+from collections import Counter
+
+import numpy as np
+
+from tradewell.llm.common import table
+from tradewell.llm.quality_rules import CUTOFF, FLOORS, quality_rules
+from tradewell.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def base(t):
+    t = t or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    seen = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+    cover = {i + k for i in range(len(w) - 2) if seen[tuple(w[i:i + 3])] > 1 for k in range(3)}
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(cover)), len(lines)
+
+
+def numbers(r):
+    return (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+
+
+def vector(b, lines):
+    n, chars, sym, dup, rep = b
+    return [np.log1p(n), np.log1p(chars / max(n, 1)), np.sqrt(sym / max(chars, 1)), np.sqrt(dup / max(lines, 1)),
+            np.sqrt(rep / max(n, 1))]
+
+
+def mcd_distances(x):
+    """A plain MCD of one group: the same start, sorted h-subsets."""
+    q = lambda p: np.array([np.sort(np.floor(c * 256))[int(np.ceil(p * len(c))) - 1] / 256 for c in x.T])
+    centre, cov = q(.5), np.diag(((q(.75) - q(.25)) / 1.349) ** 2 + FLOORS)
+    dist = lambda: np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+    for _ in range(30):
+        near = x[np.argsort(dist())[:int(np.ceil(.75 * len(x)))]]
+        centre, cov = near.mean(0), 1.41 * np.cov(near.T, bias=True) + np.diag(FLOORS)
+    near = x[dist() <= 12.833]
+    centre, cov = near.mean(0), np.cov(near.T, bias=True) + np.diag(FLOORS)
+    return dist()
+
+
+def test_query(spark):
+    docs = {r.doc_id: r for r in table(spark, SF, "documents").collect()}
+    label = {r.doc_id: r.quality for r in table(spark, SF, "labels").collect()}
+    rows = {r.doc_id: r for r in QUERIES["op3_quality_rules"](spark, SF).collect()}
+    assert set(rows) == set(docs)
+    groups = {}
+    for i, r in rows.items():
+        b, lines = base(docs[i].text)
+        assert numbers(r) == b
+        assert r.base_failed == (b[0] < 50 or 100 * b[4] > 50 * b[0])
+        if r.base_failed:
+            assert not r.kept and r.distance is None
+        else:
+            groups.setdefault((docs[i].lang, docs[i].source), []).append((i, vector(b, lines)))
+    same = total = 0
+    for g in groups.values():
+        if len(g) >= 20:
+            want = mcd_distances(np.array([v for _, v in g])) <= CUTOFF
+            same += sum(rows[i].kept == w for (i, _), w in zip(g, want))
+            total += len(g)
+    print("agreement", same, total)
+    assert total and same >= 0.98 * total
+    good = [rows[i].kept for i in rows if label.get(i) == 1 and not rows[i].base_failed]
+    bad = [rows[i].kept for i in rows if label.get(i) == 0]
+    print("kept of good, bad", np.mean(good), np.mean(bad))
+    assert np.mean(good) > 0.98
+    again = {r.doc_id: r.distance for r in QUERIES["op3_quality_rules"](spark, SF).collect()}
+    assert again == {i: r.distance for i, r in rows.items()}
+
+
+def test_native_plan(spark):
+    plan = QUERIES["op3_quality_rules"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_odd_rows(spark):
+    long = "lorem ipsum dolor sit amet " * 8000
+    texts = [None, "", "a a a a a", "a b c x a b c", "a b a b a", "  x\n x\n\ny\n x\n", "é#ü <b> \n \n \n", long, long,
+             " ".join(f"w{i}" for i in range(60))]
+    df = spark.createDataFrame([(i if i else None, t, None if i % 2 else "en", None, 1) for i, t in enumerate(texts)],
+                               "doc_id long, text string, lang string, source string, n_words int")
+    got = {r.doc_id or 0: r for r in quality_rules(df).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert numbers(got[i]) == base(t)[0]
+    assert got[9].kept and not got[7].kept
+    assert quality_rules(df.limit(0)).count() == 0
