@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tradewell.llm import language_id, mixing, ngram_join, pii, quality_classifier, quality_rules, sharding, token_counts  # noqa: F401
+from tradewell.llm import language_id, mixing, ngram_join, pii, quality_classifier, quality_rules, sharding, token_counts, warc_revisits  # noqa: F401
 from tradewell.llm.common import ORACLE, QUERIES  # noqa: F401

@@ -41,9 +41,10 @@ def refine(o: Ordered, size: str, cells: list[tuple[int, int, int, int]], split:
             if not len(x):
                 continue
             cell = c * split + (x - lo[c]) // width[c]
-            first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])  # x ascends within a part
-            last = np.r_[first[1:], len(x)] - 1
-            yield as_batch([cell[first], x[first], x[last], row[first], row[last]], ["cell", "a", "z", "ra", "rz"])
+            first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])  # a task may read several parts, in any order
+            low, high = np.minimum.reduceat, np.maximum.reduceat
+            yield as_batch([cell[first], low(x, first), high(x, first), low(row, first), high(row, first)],
+                           ["cell", "a", "z", "ra", "rz"])
 
     found = (key_starts(o, size, fold, LONGS("cell", "a", "z", "ra", "rz")).groupBy("cell")
              .agg(F.min("a").alias("a"), F.max("z").alias("z"), F.min("ra").alias("ra"), F.max("rz").alias("rz")))
