@@ -2,5 +2,6 @@
 
 from __future__ import annotations
 
-from tradewell.llm import language_id, mixing, ngram_join, pii, quality_classifier, quality_rules, sharding, token_counts, warc_revisits  # noqa: F401
+from tradewell.llm import (decontamination, language_id, mixing, ngram_join, pii, quality_classifier,  # noqa: F401
+                            quality_rules, sharding, token_counts, warc_revisits)
 from tradewell.llm.common import ORACLE, QUERIES  # noqa: F401
