@@ -23,16 +23,16 @@ N_SHARDS = 40
 
 
 def _decided(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id is not in ``verdict`` (column id). Null ids are
+    """Rows of docs whose doc_id is not in ``verdict`` (column _id). Null ids are
     never in it. Spark broadcasts the ids if their table is small."""
-    return docs.join(verdict, docs["doc_id"] == verdict["id"], "left_anti")
+    return docs.join(verdict, docs["doc_id"] == verdict["_id"], "left_anti")
 
 
 def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject. A rejected id rejects
     every row with that id and text score; null ids are kept."""
     scores = score_quality(docs, table(spark, sf_dir, "labels"))
-    bad = scores.where("predicted = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
+    bad = scores.where("predicted = 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
     return _decided(docs, stored(bad, "rejected"))
 
 
@@ -40,28 +40,28 @@ def near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least id.
     Repeated rows of that document become one row."""
     groups = near_duplicates(docs)
-    extra = groups.where("component_id < doc_id").select(F.col("doc_id").alias("id")).distinct()
+    extra = groups.where("component_id < doc_id").select(F.col("doc_id").alias("_id")).distinct()
     kept = _decided(docs, stored(extra, "near-copies"))
     # rows that repeat an id are copies as well; only those ids are brought together
-    again = stored(groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")),
+    again = stored(groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")),
                    "repeated-ids")
     return _decided(kept, again).unionByName(
-        kept.join(again, kept["doc_id"] == again["id"], "left_semi").dropDuplicates(["doc_id"]))
+        kept.join(again, kept["doc_id"] == again["_id"], "left_semi").dropDuplicates(["doc_id"]))
 
 
 def decontaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     leaks = find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return _decided(docs, stored(leaks.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct(), "leaks"))
+    return _decided(docs, stored(leaks.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct(), "leaks"))
 
 
 def mixed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix has it (0 to 3 times). Ids are unique
     here but for null ones, which stay once each."""
-    copies = stored(mix_sources(docs).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "copies"), "copies")
-    often = docs.join(copies, docs["doc_id"] == copies["id"], "left")
+    copies = stored(mix_sources(docs).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies")), "copies")
+    often = docs.join(copies, docs["doc_id"] == copies["_id"], "left")
     # texts are not shuffled again to be repeated
-    return often.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.coalesce("copies", F.lit(1)))).alias("_")).drop("_")
+    return often.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.coalesce("_copies", F.lit(1)))).alias("_")).drop("_")
 
 
 def sharded(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
