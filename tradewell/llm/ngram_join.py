@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StructField, StructType)
 
-from tradewell.llm.common import register, small_batches, stored, table
+from tradewell.llm.common import drop_stored, register, small_batches, stored, table
 from tradewell.llm.components import components
 from tradewell.llm.kernels import Hasher, byte_classes, lower_bytes, mix, owner, text_chunks, word_spans
 from tradewell.llm.ordered import LONGS, as_batch
@@ -74,8 +74,9 @@ def text_sets(col, hasher, classes, lower):
 
 
 def shingle_counts(texts: DataFrame) -> np.ndarray:
-    """Logarithms (base 2, rounded down) of hashed shingle counts over the whole
-    corpus: a table of fixed size (1 MB)."""
+    """Levels of hashed shingle counts over the whole corpus, 12 for each
+    doubling, so that a shingle shared by a few texts stands out from the mean
+    count of a cell: a table of fixed size (1 MB)."""
     def gather(batches):
         hasher, classes, lower = Hasher(), byte_classes(), lower_bytes()
         cells = np.zeros(1 << CELL_BITS, np.int64)
@@ -91,7 +92,7 @@ def shingle_counts(texts: DataFrame) -> np.ndarray:
         total = np.zeros(CELL_BLOCK, np.int64)
         for x in rows.column("n"):
             total += np.frombuffer(x.as_py(), np.int32)
-        logs = np.log2(np.maximum(total, 1)).astype(np.uint8)
+        logs = np.minimum(255, 12 * np.log2(np.maximum(total, 1))).astype(np.uint8)
         return pa.table({"block": rows.column("block").slice(0, 1), "n": pa.array([logs.tobytes()], pa.binary())})
 
     kind = StructType([StructField("block", IntegerType()), StructField("n", BinaryType())])
@@ -233,8 +234,11 @@ def linked(pairs: DataFrame, nodes: DataFrame, src: DataFrame) -> DataFrame:
             yield as_batch([b.column(0).to_numpy()[ok], b.column(1).to_numpy()[ok]], ["u", "v"])
 
     one = lambda x: exact.select(F.col("id").alias(x), F.col("set").alias(f"set{x}"))
-    return stored(left.join(one("a"), "a").join(one("b"), "b").select("a", "b", "seta", "setb")
-                  .mapInArrow(intersect, LONGS("u", "v")), "links")
+    links = stored(left.join(one("a"), "a").join(one("b"), "b").select("a", "b", "seta", "setb")
+                   .mapInArrow(intersect, LONGS("u", "v")), "links")
+    for done in (left, exact):
+        drop_stored(done)
+    return links
 
 
 def banded_pairs(rows: DataFrame) -> DataFrame:
