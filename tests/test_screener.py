@@ -47,14 +47,12 @@ def test_entities_and_nested_tags(spark):
     assert got == [["Tom & Jerry"], ["x<y"]]
 
 
-def test_page_cap(spark):
-    rows = [("T", i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)) for i in range(30)]
-    df = spark.createDataFrame(rows, "page_ticker string, row_pos int, filing_ts timestamp_ntz")
-    for c in ["trade_date", "insider_name", "qty", "price"]:
-        df = df.withColumn(c, df.row_pos.cast("string") if c == "insider_name" else df.row_pos)
-    for c in ["value", "trade_type", "title", "x_flag"]:
-        df = df.withColumn(c, df.row_pos.cast("string"))
-    kept = sc.page_cap(df, cap=10).collect()
-    assert len(kept) == 10 and min(r.row_pos for r in kept) == 20
-    plan = sc.page_cap(df, cap=10)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+def test_entities_case_and_short_rows(spark):
+    page = ("<TABLE><TBODY></TBODY></TABLE><tBody><TR><td>D</td><TD>2024-01-02 10:00:00</TD></tr>"
+            "<tr><td>Co&#8217;s Ren&#xE9;e&eacute; &amp;lt; &nope; &#0;</td></tr></tBODY >")
+    df = spark.createDataFrame([("A", page)], "ticker string, html string")
+    cells = sc.table_cells(df, ["ticker"])
+    rows = [r.cells for r in cells.orderBy("row_pos").collect()]
+    assert rows == [["D", "2024-01-02 10:00:00"], ["Co\u2019s Ren\u00e9e\u00e9 &lt; &nope; &#0;"]]
+    out = sc.screener_trades(cells, ["ticker"]).orderBy("row_pos").collect()
+    assert out[0].x_flag == "D" and out[0].price is None and out[1].title is None

@@ -1,17 +1,28 @@
-"""Session helpers: spread() only acts on under-split scans; shared_dir()
+"""Session helpers: spread() acts only where a count is given; shared_dir()
 uses the configured checkpoint folder."""
 
-from tradewell.session import shared_dir, spread
+import pytest
 
+from tradewell.session import checkpoint_base, shared_dir, spread
 
-def test_spread_is_a_no_op_with_enough_partitions(spark):
-    want = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=want * 2)
-    assert spread(many) is many
-    few = spark.range(0, 1000, numPartitions=1)
-    spread_few = spread(few)
-    assert spread_few is not few and spread_few.rdd.getNumPartitions() == want
-    assert sorted(r.id for r in spread_few.collect()) == list(range(1000))
+
+def test_spread_only_where_asked(spark):
+    df = spark.range(1000)
+    assert spread(df, None) is df
+    assert spread(df, 3).rdd.getNumPartitions() == 3
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError):
+        checkpoint_base(Session)
 
 
 def test_shared_dir_uses_checkpoint_dir(spark):

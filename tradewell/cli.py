@@ -18,16 +18,19 @@ import datetime as dt
 import os
 import sys
 
+from pyspark.sql import functions as F
+
 from tradewell.functions.scalars import parse_param_date, symbol
-from tradewell.operators.combine import combine_transactions
+from tradewell.operators.combine import HEADER_COLS, combine_with_rejects
 from tradewell.operators.event_study import event_study, label_lines, open_market_trades
 from tradewell.operators.filings import parse_filings
-from tradewell.operators.resolve import limit_filings, resolve_ciks, select_documents
-from tradewell.operators.screener import page_cap, screener_trades, table_cells
-from tradewell.session import get_spark
+from tradewell.operators.resolve import limit_filings, resolve_ciks, select_documents, unresolved
+from tradewell.operators.screener import screener_trades, table_cells
+from tradewell.session import get_spark, spread
 from tradewell.sinks.store import resolve_mode, save_trades
 from tradewell.sources.prices import read_price_csv, read_price_table
-from tradewell.sources.sec import compact_corpus, form4_only, read_corpus, read_filing_index, read_ticker_dictionary
+from tradewell.sources.sec import (compact_corpus, form4_only, read_corpus, read_filing_index,
+                                   read_filing_index_rejects, read_ticker_dictionary)
 from tradewell.sources.store import read_store
 from tradewell.sources.watchlist import clean_watchlist, read_watchlist_file, watchlist_from_params
 
@@ -35,7 +38,6 @@ from tradewell.sources.watchlist import clean_watchlist, read_watchlist_file, wa
 # CSV_SEP); the command-line options override them.
 DEFAULT_STORE = os.environ.get("LINK", "scrapes")
 DEFAULT_SEP = os.environ.get("CSV_SEP", ";")
-HEADER = ["x_flag", "filing_ts", "ticker", "insider_name", "title"]
 
 
 def _store_args(p: argparse.ArgumentParser):
@@ -72,6 +74,8 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--dictionary", required=True)
     f.add_argument("--index", required=True)
     f.add_argument("--corpus", required=True)
+    f.add_argument("--partitions", type=int, help="spread the parsing over N tasks (default: the scan's splits)")
+    f.add_argument("--rejects", help="folder for rejects and unresolved symbols (default: <store>_rejects)")
     _store_args(f)
 
     s = sub.add_parser("screener", help="screener pages -> trades -> store")
@@ -79,7 +83,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("-f")
     s.add_argument("-n", "--processes", type=int, help="ignored: Spark sets the parallelism")
     s.add_argument("--pages", required=True, help="Parquet with ticker, html")
-    s.add_argument("--cap", type=int, default=None, help="keep the newest N rows per ticker page (site: 1000)")
+    s.add_argument("--partitions", type=int, help="spread the parsing over N tasks (default: the scan's splits)")
     _store_args(s)
 
     c = sub.add_parser("compact", help="landed submission texts -> corpus Parquet")
@@ -92,6 +96,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("-ed", help="end date YYYY-MM-DD (default: now)")
     e.add_argument("-s", dest="store", default=DEFAULT_STORE)
     e.add_argument("--format", default="parquet", choices=["parquet", "csv", "table"])
+    e.add_argument("--sep", default=DEFAULT_SEP, help="CSV separator")
     e.add_argument("--prices", required=True, help="Parquet with ticker, date, close, or a folder of <TICKER>.csv")
     e.add_argument("--prices-format", default="parquet", choices=["parquet", "csv"])
     e.add_argument("--out", help="write the result here (Parquet); default: show it")
@@ -103,9 +108,16 @@ def run_filings(spark, args):
     watch = _watch(spark, args)
     ciks = resolve_ciks(watch, read_ticker_dictionary(spark, args.dictionary))
     index = limit_filings(form4_only(read_filing_index(spark, args.index)), args.l)
-    docs = select_documents(ciks, index, read_corpus(spark, args.corpus))
-    tx, _ = parse_filings(docs)
-    trades = combine_transactions(tx, by_date=args.d, header_cols=HEADER, signed_value=args.signed_value)
+    docs = spread(select_documents(ciks, index, read_corpus(spark, args.corpus)), args.partitions)
+    tx, bad = parse_filings(docs)
+    # a filing that lies under issuer and owner is combined once for each CIK
+    trades, lost = combine_with_rejects(tx, by_date=args.d, header_cols=HEADER_COLS,
+                                        filing_key=["cik", "accession"], signed_value=args.signed_value)
+    rejects = (bad.unionByName(lost, allowMissingColumns=True)
+               .unionByName(read_filing_index_rejects(spark, args.index), allowMissingColumns=True)
+               .unionByName(unresolved(watch, read_ticker_dictionary(spark, args.dictionary))
+                            .withColumn("reject", F.lit("unresolved symbol")), allowMissingColumns=True))
+    rejects.write.mode("append").parquet(args.rejects or f"{args.store.rstrip('/')}_rejects")
     return save_trades(trades, args.store, mode=resolve_mode(args.append, args.rewrite),
                        fmt=args.format, sep=args.sep)
 
@@ -114,10 +126,9 @@ def run_screener(spark, args):
     watch = _watch(spark, args)
     pages = spark.read.parquet(args.pages).withColumn("ticker", symbol("ticker"))
     pages = pages.join(watch.withColumnRenamed("symbol", "ticker"), "ticker", "left_semi")
+    pages = spread(pages, args.partitions)
     rows = screener_trades(table_cells(pages, ["ticker"]).withColumnRenamed("ticker", "page_ticker"),
                            ["page_ticker"], sep=args.sep)
-    if args.cap:
-        rows = page_cap(rows, cap=args.cap)
     return save_trades(rows, args.store, mode=resolve_mode(args.append, args.rewrite),
                        fmt=args.format, sep=args.sep)
 
@@ -127,17 +138,24 @@ def _range(args, now: dt.datetime | None):
     return parse_param_date(args.sd, now - dt.timedelta(days=365)), parse_param_date(args.ed, now)
 
 
+def _stored_trades(spark, args, start: dt.datetime, end: dt.datetime):
+    """The store's rows of the months of the range (other partitions are not read)."""
+    first, n = start.year * 12 + start.month - 1, (end.year - start.year) * 12 + end.month - start.month
+    months = [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(first, first + n + 1)]
+    return read_store(spark, args.store, fmt=args.format, sep=args.sep, months=months)
+
+
 def run_label_lines(spark, args, now: dt.datetime | None = None):
     """Label lines of the chosen tickers and range: a day's label is its
     lines in O1 order (``event_study.render_label``)."""
     start, end = _range(args, now)
-    om = open_market_trades(read_store(spark, args.store, fmt=args.format), start, end, list(args.tickers))
+    om = open_market_trades(_stored_trades(spark, args, start, end), start, end, list(args.tickers))
     return label_lines(om)
 
 
 def run_event_study(spark, args, now: dt.datetime | None = None):
     start, end = _range(args, now)
-    trades = read_store(spark, args.store, fmt=args.format)
+    trades = _stored_trades(spark, args, start, end)
     prices = (read_price_csv(spark, args.prices) if args.prices_format == "csv"
               else read_price_table(spark, args.prices))
     return event_study(trades, prices, start, end, tickers=list(args.tickers))
@@ -159,7 +177,10 @@ def main(argv=None) -> int:
         if args.out:
             out.write.mode("overwrite").parquet(args.out)
         else:
+            n = out.count()
             out.orderBy("ticker", "anchor_ts").show(50, truncate=False)
+            if n > 50:
+                print(f"the first 50 of {n} rows; --out writes them all")
     return 0
 
 

@@ -124,7 +124,7 @@ def _ntz(y, mo, d, h, mi, sec) -> Column:
 
 def acceptance_ts(text) -> Column:
     """``<ACCEPTANCE-DATETIME>yyyyMMddHHmmss`` -> timestamp_ntz."""
-    digits = F.regexp_extract(_c(text), r"<ACCEPTANCE-DATETIME>([0-9]{14})", 1)
+    digits = F.regexp_extract(_c(text), r"<ACCEPTANCE-DATETIME>([0-9]{14})(?![0-9])", 1)
     part = lambda a, n: F.substring(digits, a, n)
     return F.when(digits != F.lit(""),
                   _ntz(part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2), part(13, 2)))
@@ -132,10 +132,14 @@ def acceptance_ts(text) -> Column:
 
 # R9 -------------------------------------------------------------------------
 def trade_date_text(text) -> Column:
-    """Date part of an ISO date text (a trailing time or offset is ignored)."""
+    """Date of a Form 4 date text: ISO, with an optional UTC offset (``-05:00``
+    or ``Z``) or time of day, or ``M/D/YYYY``. Anything else is NULL."""
     t = strip_ws(text)
-    return F.when(t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"),
-                  F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd"))
+    iso = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[ T][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?$"
+    us = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
+    part = lambda g, n: F.lpad(F.regexp_extract(t, us, g), n, "0")
+    return (F.when(t.rlike(iso), F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd"))
+            .when(t.rlike(us), F.try_to_date(F.concat_ws("-", part(3, 4), part(1, 2), part(2, 2)), "yyyy-MM-dd")))
 
 
 # R10 / F5 -------------------------------------------------------------------
@@ -184,6 +188,13 @@ def int_or_zero(text) -> Column:
     return F.coalesce(F.when(t.rlike(_INT_TEXT), t.try_cast("bigint")), F.lit(0).cast("bigint"))
 
 
+def int_out_of_range(text) -> Column:
+    """Whether an integral text is beyond what a signed share count can hold."""
+    t = strip_ws(text)
+    n = t.try_cast("bigint")
+    return F.coalesce(t.rlike(_INT_TEXT) & (n.isNull() | (n == F.lit(-(1 << 63)))), F.lit(False))
+
+
 def float_or_zero(text) -> Column:
     return F.coalesce(strip_ws(text).try_cast("double"), F.lit(0.0))
 
@@ -200,7 +211,7 @@ def delimiter_safe(title, sep: str) -> Column:
 
 # R16 ------------------------------------------------------------------------
 # Accepted layouts: yyyy-MM-dd, then optionally [ T]HH:mm, :ss and .fraction.
-_TS_TEXT = r"^([0-9]{4})-([0-9]{2})-([0-9]{2})(?:[ T]([0-9]{2}):([0-9]{2})(?::([0-9]{2})(\.[0-9]{1,6})?)?)?$"
+_TS_TEXT = r"^([0-9]{4})-([0-9]{2})-([0-9]{2})(?:[ T]([0-9]{2}):([0-9]{2})(?::([0-9]{2})(\.[0-9]+)?)?)?$"
 
 
 def coerce_ts(text) -> Column:
@@ -242,6 +253,19 @@ def parse_param_date(text: str | None, default):
 
 
 # R19 ------------------------------------------------------------------------
+def plain_number(x) -> Column:
+    """Text of a double as Python prints it: plain digits between 1e-4 and
+    1e16 (never ``5.0E-4`` or ``1.2345678E7``), else like ``1e-05``."""
+    d = _c(x).cast("double")
+    text = d.cast("string")
+    plain = F.regexp_replace(F.format_string("%s", d.try_cast("decimal(38,20)")), r"(\.[0-9]*?)0+$", "$1")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    power = F.element_at(F.split(text, "E"), -1).try_cast("int")
+    short = F.format_string("%s%s%02d", F.regexp_replace(F.split(text, "E")[0], r"\.0$", ""),
+                            F.when(power < 0, "e-").otherwise("e+"), F.abs(power))
+    return (F.when(text.isNull() | ~text.contains("E"), text).when((F.abs(d) >= 1e-4) & (F.abs(d) < 1e16), plain).otherwise(short))
+
+
 def wall_text(ts, fmt: str = "%04d-%02d-%02d %02d:%02d:%02d") -> Column:
     """Text of a timestamp_ntz from its fields (year, month, day, hour,
     minute, second, in that order; unused trailing fields are ignored).

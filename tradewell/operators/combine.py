@@ -22,9 +22,11 @@ from tradewell.functions.scalars import round_half_away
 # Header columns constant within a filing: part of the key, so order-free.
 HEADER_COLS = ["x_flag", "filing_ts", "ticker", "insider_name", "title"]
 
-# Price precision of the gross value sum: exact decimal, so the sum does not
-# depend on row order (double sums do).
-VALUE_DECIMAL = "decimal(20,6)"
+# A gross value is the double product price x |qty|, as the reference takes it.
+# Products are summed as decimals of ten places, so that the sum does not
+# depend on row order; the price itself keeps all its digits.
+VALUE_DECIMAL = "decimal(38,10)"
+AMOUNT_REASON = "amount out of range"
 
 
 def combine_transactions(tx: DataFrame, by_date: bool = False,
@@ -33,17 +35,31 @@ def combine_transactions(tx: DataFrame, by_date: bool = False,
                          signed_value: bool = False) -> DataFrame:
     """``signed_value=False`` keeps the reference's unsigned gross value (Q7);
     True gives the value the sign of the quantity, as screener rows carry it,
-    so the same sale from both sources shares one dedup key."""
+    so the same sale from both sources shares one dedup key. A group whose
+    share or value sum cannot be held is left out (``combine_with_rejects``
+    returns it)."""
+    return combine_with_rejects(tx, by_date, header_cols, filing_key, signed_value)[0]
+
+
+def combine_with_rejects(tx: DataFrame, by_date: bool = False, header_cols: list[str] | None = None,
+                         filing_key: str | list[str] = "accession",
+                         signed_value: bool = False) -> tuple[DataFrame, DataFrame]:
+    """-> (trades, rejects): rejects has the filing key and a reason."""
     header_cols = [c for c in (HEADER_COLS if header_cols is None else header_cols)
                    if c in tx.columns]
     fkeys = [filing_key] if isinstance(filing_key, str) else list(filing_key)
     keys = fkeys + header_cols + ["trade_type", "a_d"] + (["trade_date"] if by_date else [])
-    gross = F.col("price").cast(VALUE_DECIMAL) * F.abs(F.col("qty")).cast("decimal(20,0)")
+    gross = (F.col("price") * F.abs(F.col("qty").cast("double"))).try_cast(VALUE_DECIMAL)
+    lost = gross.isNull() & F.col("price").isNotNull() & F.col("qty").isNotNull()
     g = (tx.groupBy(*keys)
-         .agg(F.sum("qty").alias("total_qty"),
-              F.sum(gross).alias("total_value"),
+         .agg(F.try_sum("qty").alias("total_qty"),
+              F.try_sum(gross).alias("total_value"),
+              F.count_if(lost).alias("n_lost"),
               F.min("trade_date").alias("first_trade_date"),
               F.count(F.lit(1)).alias("n_trades")))
+    bad = (F.col("n_lost") > 0) | F.col("total_qty").isNull() | F.col("total_value").isNull()
+    rejects = g.where(bad).select(*fkeys, F.lit(AMOUNT_REASON).alias("reject"))
+    g = g.where(~bad)
     total_value = F.col("total_value").cast("double")
     avg_price = F.when(F.col("total_qty") == 0, F.lit(0.0)).otherwise(
         total_value / F.abs(F.col("total_qty")))
@@ -66,4 +82,4 @@ def combine_transactions(tx: DataFrame, by_date: bool = False,
         F.concat(F.coalesce(F.col("x_flag_in"), F.lit("")),
                  F.when(F.col("n_trades") > 1, F.lit("M")).otherwise(F.lit(""))),
     ).drop("x_flag_in")
-    return out
+    return out, rejects

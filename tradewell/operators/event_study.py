@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tradewell.functions import scalars as S
 
+# The two open-market trade types, and the separator of label blocks.
 OPEN_MARKET = ["P - Purchase", "S - Sale"]
 SEP = "\n----------------------\n"
 
@@ -34,13 +35,15 @@ def ntz_literal(t: dt.datetime) -> F.Column:
     return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
-def open_market_trades(trades: DataFrame, start: dt.datetime, end: dt.datetime,
+def open_market_trades(trades: DataFrame, start: dt.datetime | None = None, end: dt.datetime | None = None,
                        tickers: DataFrame | list[str] | None = None) -> DataFrame:
-    """F2 + F3 + F4. ``tickers`` is a list, a one-column DataFrame
+    """F2 + F3 + F4; an end that is None is open. ``tickers`` is a list, a one-column DataFrame
     (``ticker``) joined as a semi join, or None for all tickers."""
-    df = trades.where(F.col("trade_type").isin(*OPEN_MARKET)
-                      & (F.col("filing_ts") >= ntz_literal(start))
-                      & (F.col("filing_ts") <= ntz_literal(end)))
+    df = trades.where(F.col("trade_type").isin(*OPEN_MARKET))
+    if start is not None:
+        df = df.where(F.col("filing_ts") >= ntz_literal(start))
+    if end is not None:
+        df = df.where(F.col("filing_ts") <= ntz_literal(end))
     if isinstance(tickers, list):
         df = df.where(F.col("ticker").isin(*tickers))
     elif tickers is not None:
@@ -57,13 +60,16 @@ def label_order():
 
 
 def label_lines(trades: DataFrame) -> DataFrame:
-    """One text block per trade, keyed by (ticker, filing_day)."""
+    """One text block per trade, keyed by (ticker, filing_day), with its
+    place ``line_no`` among the day's lines (O1)."""
     def txt(c, null_text):
         return F.coalesce(F.col(c).cast("string"), F.lit(null_text))
     line = F.concat(F.lit("TD: "), txt("trade_date", "NaT"), F.lit("\nTT: "), txt("trade_type", "None"),
                     F.lit("\nIN: "), txt("insider_name", "None"), F.lit("\nT: "), txt("title", "None"),
-                    F.lit("\nP: "), txt("price", "nan"), F.lit(" Qty: "), txt("qty", "<NA>"))
-    return trades.select("ticker", F.to_date("filing_ts").alias("filing_day"), "filing_ts", "trade_date",
+                    F.lit("\nP: "), F.coalesce(S.plain_number("price"), F.lit("nan")), F.lit(" Qty: "), txt("qty", "<NA>"))
+    day = F.to_date("filing_ts")
+    place = F.row_number().over(Window.partitionBy("ticker", day).orderBy(*label_order()))
+    return trades.select("ticker", day.alias("filing_day"), place.alias("line_no"), "filing_ts", "trade_date",
                          "trade_type", "insider_name", "title", "price", "qty", line.alias("line"))
 
 
@@ -111,48 +117,46 @@ def nearest_bar(anchors: DataFrame, bars: DataFrame, ts_col: str = "anchor_ts",
     they then go into the window themselves, with no distinct and no join.
     """
     if per_day:
-        return _nearest_in_window(anchors, bars, ts_col)
+        rows = anchors.withColumn("_t", F.col(ts_col).cast("timestamp_ntz"))
+        return _nearer(_neighbours(rows, bars), ts_col).select(*anchors.columns, "bar_date", "close")
     days = (anchors.select("ticker", F.to_date(F.col(ts_col)).alias("_day"))
-            .where(F.col("_day").isNotNull()).distinct())
-    d = days.select("ticker", F.col("_day").cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
-                    "_day", F.lit(None).cast("struct<bar_date: date, close: double>").alias("_bar"))
+            .where(F.col("_day").isNotNull()).distinct()
+            .withColumn("_t", F.col("_day").cast("timestamp_ntz")))
+    near = _neighbours(days, bars).select("ticker", "_day", "_prev", "_next")
+    j = anchors.withColumn("_day", F.to_date(F.col(ts_col))).join(near, ["ticker", "_day"], "left")
+    return _nearer(j, ts_col).select(*anchors.columns, "bar_date", "close")
+
+
+def _neighbours(rows: DataFrame, bars: DataFrame) -> DataFrame:
+    """Add ``_prev``, the last bar at or before ``_t``, and ``_next``, the first
+    one after it. Linear in the rows of a
+    ticker: every bar knows its successor (``lead``), and a running ``last``
+    hands both on; rows before the first bar take the ticker's first bar."""
+    bar = F.struct(F.col("date").alias("bar_date"), F.col("close"))
+    by_date = Window.partitionBy("ticker").orderBy("date")
     b = bars.select("ticker", F.col("date").cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"),
-                    F.lit(None).cast("date").alias("_day"),
-                    F.struct(F.col("date").alias("bar_date"), F.col("close")).alias("_bar"))
+                    F.struct(bar.alias("bar"), F.lead(bar).over(by_date).alias("after")).alias("_both"))
+    both = b.schema["_both"].dataType
+    a = rows.withColumn("_kind", F.lit(1)).withColumn("_both", F.lit(None).cast(both))
     w = Window.partitionBy("ticker").orderBy("_t", "_kind")
-    prev = F.last("_bar", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = F.first("_bar", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    cand = (d.unionByName(b).select("ticker", "_day", "_kind", prev.alias("_prev"), nxt.alias("_next"))
-            .where(F.col("_kind") == 1).drop("_kind"))
-    a = anchors.withColumn("_day", F.to_date(F.col(ts_col)))
-    j = a.join(cand, ["ticker", "_day"], "left")
+    held = F.last("_both", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first = F.min(F.col("_both.bar")).over(Window.partitionBy("ticker"))
+    u = (a.unionByName(b, allowMissingColumns=True).select("*", held.alias("_held"), first.alias("_first"))
+         .where(F.col("_kind") == 1))
+    return u.select(*rows.columns, F.col("_held.bar").alias("_prev"),
+                    F.when(F.col("_held").isNull(), F.col("_first"))
+                    .otherwise(F.col("_held.after")).alias("_next"))
+
+
+def _nearer(rows: DataFrame, ts_col: str) -> DataFrame:
+    """The nearer of ``_prev`` and ``_next``; a tie goes to the earlier bar."""
     t = F.col(ts_col).cast("timestamp_ntz")
     d_prev = S.micros_between(t, F.col("_prev.bar_date").cast("timestamp_ntz"))
     d_next = S.micros_between(t, F.col("_next.bar_date").cast("timestamp_ntz"))
     pick = (F.when(F.col("_next").isNull(), F.col("_prev"))
             .when(F.col("_prev").isNull(), F.col("_next"))
             .when(d_prev <= d_next, F.col("_prev")).otherwise(F.col("_next")))
-    return j.select(*anchors.columns, pick.getField("bar_date").alias("bar_date"),
-                    pick.getField("close").alias("close"))
-
-
-def _nearest_in_window(anchors: DataFrame, bars: DataFrame, ts_col: str) -> DataFrame:
-    a = anchors.select("*", F.col(ts_col).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
-                       F.lit(None).cast("struct<bar_date: date, close: double>").alias("_bar"))
-    b = bars.select("ticker", F.col("date").cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"),
-                    F.struct(F.col("date").alias("bar_date"), F.col("close")).alias("_bar"))
-    w = Window.partitionBy("ticker").orderBy("_t", "_kind")
-    prev = F.last("_bar", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = F.first("_bar", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    u = (a.unionByName(b, allowMissingColumns=True)
-         .select("*", prev.alias("_prev"), nxt.alias("_next")).where(F.col("_kind") == 1))
-    d_prev = S.micros_between(F.col("_t"), F.col("_prev.bar_date").cast("timestamp_ntz"))
-    d_next = S.micros_between(F.col("_t"), F.col("_next.bar_date").cast("timestamp_ntz"))
-    pick = (F.when(F.col("_next").isNull(), F.col("_prev"))
-            .when(F.col("_prev").isNull(), F.col("_next"))
-            .when(d_prev <= d_next, F.col("_prev")).otherwise(F.col("_next")))
-    return u.select(*anchors.columns, pick.getField("bar_date").alias("bar_date"),
-                    pick.getField("close").alias("close"))
+    return rows.withColumn("bar_date", pick.getField("bar_date")).withColumn("close", pick.getField("close"))
 
 
 def event_study(trades: DataFrame, prices: DataFrame, start: dt.datetime, end: dt.datetime,

@@ -108,13 +108,27 @@ def _opt(cond, text):
     return F.when(cond, text).otherwise(F.lit(""))
 
 
-def filing_documents(orders: DataFrame, lineitem: DataFrame, defects: bool = False) -> DataFrame:
+# Numbers at the edge (``extremes``): line 4 a price of 1e20, which is held;
+# line 3 one of 1e30, whose value no column holds; line 2 two transactions of
+# the largest share count, whose sum overflows; line 1 a count beyond 64 bits.
+BIG = 9223372036854775807
+
+
+def filing_documents(orders: DataFrame, lineitem: DataFrame, defects: bool = False,
+                     extremes: bool = False) -> DataFrame:
+    """One text per lineitem row. With ``extremes`` every text has two
+    transactions, a non-derivative and a derivative one, from the same row."""
     e = {k: F.expr(v) for k, v in {**FILING_SQL, **LINE_SQL}.items()}
     d = {k: (F.expr(v) if defects else F.lit(False)) for k, v in DEFECT_SQL.items()}
-    j = spread(lineitem).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    j = spread(lineitem, lineitem.sparkSession.sparkContext.defaultParallelism).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     val = lambda x: _el("value", x)
     price = F.when(e["footnote_price"], F.lit('<footnoteId id="F1"/>')).otherwise(
         val(F.col("l_extendedprice").cast("string")))
+    line = F.col("l_linenumber")
+    if extremes:
+        price = (F.when(line == 4, val(F.lit("1e20"))).when(line == 3, val(F.lit("1e30"))).otherwise(price))
+        e["shares_text"] = (F.when(line == 2, F.lit(str(BIG))).when(line == 1, F.lit(f"{BIG}0"))
+                            .otherwise(e["shares_text"]))
     tx_inner = F.concat(
         _opt(~d["no_date"], _el("transactionDate", val(F.to_date("l_shipdate").cast("string")))),
         _opt(~d["no_code"], _el("transactionCoding", F.concat(
@@ -124,7 +138,10 @@ def filing_documents(orders: DataFrame, lineitem: DataFrame, defects: bool = Fal
             _el("transactionPricePerShare", price),
             _el("transactionAcquiredDisposedCode", val(e["a_d"])))))
     non_deriv = _el("nonDerivativeTable", _opt(~e["in_deriv"], _el("nonDerivativeTransaction", tx_inner)))
-    deriv = _opt(e["has_deriv"], _el("derivativeTable", _opt(e["in_deriv"], _el("derivativeTransaction", tx_inner))))
+    if extremes:
+        non_deriv = _el("nonDerivativeTable", _el("nonDerivativeTransaction", tx_inner))
+    deriv = _el("derivativeTable", _el("derivativeTransaction", tx_inner)) if extremes else _opt(
+        e["has_deriv"], _el("derivativeTable", _opt(e["in_deriv"], _el("derivativeTransaction", tx_inner))))
     officer_title = F.when(d["empty_title"], F.lit("<officerTitle/>")).otherwise(
         _opt(e["officer_title"].isNotNull(), _el("officerTitle", F.coalesce(e["officer_title"], F.lit("")))))
     is_officer = F.when(d["empty_title"], F.lit("true")).otherwise(e["is_officer"])
@@ -185,7 +202,9 @@ def watchlist_lines(customer: DataFrame, supplier: DataFrame):
 
 # orders -> filing index JSON shards --------------------------------------------
 # One shard per (custkey, block of 1000 orderkeys): a shard never holds more
-# than 1000 entries, whatever the skew of custkey. Entries newest first.
+# than 1000 entries, whatever the skew of custkey. The place of an entry in its
+# shard follows neither its date nor its accession.
+INDEX_PLACE_SQL = "(o_orderkey * 7919) % 1000"
 INDEX_FORM_SQL = "CASE o_orderpriority WHEN '1-URGENT' THEN '4/A' WHEN '2-HIGH' THEN '3' ELSE '4' END"
 
 
@@ -193,15 +212,16 @@ def filing_index_json(orders: DataFrame) -> DataFrame:
     e = orders.select(
         F.expr(FILING_SQL["cik"]).alias("cik"),
         F.floor(F.col("o_orderkey") / 1000).alias("block"),
-        F.struct(F.to_date("o_orderdate").alias("d"), F.expr(FILING_SQL["accession"]).alias("a"),
+        F.struct(F.expr(INDEX_PLACE_SQL).alias("k"), F.to_date("o_orderdate").alias("d"),
+                 F.expr(FILING_SQL["accession"]).alias("a"),
                  F.expr(INDEX_FORM_SQL).alias("f")).alias("e"))
     g = e.groupBy("cik", "block").agg(F.collect_list("e").alias("es"))
-    es = F.reverse(F.array_sort("es"))
+    es = F.sort_array("es")
     recent = F.struct(F.transform(es, lambda x: x["a"]).alias("accessionNumber"),
                       F.transform(es, lambda x: x["f"]).alias("form"),
                       F.transform(es, lambda x: x["d"].cast("string")).alias("filingDate"))
     return g.select(F.to_json(F.struct(F.col("cik"), F.struct(recent.alias("recent")).alias("filings")))
-                    .alias("value"))
+                    .alias("value"), F.col("block").alias("shard"))
 
 
 # events -> insider trades and daily price bars ---------------------------------
@@ -249,19 +269,22 @@ SCREEN_SQL = {
     "sign": "CASE l_returnflag WHEN 'R' THEN '-' ELSE '+' END",
     "cents": "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)",
     "qty_abs": "CAST(l_quantity AS BIGINT) * l_partkey",
+    "short": "l_linenumber = 2",    # the row ends after the trade type
+    "upper": "l_linenumber % 3 = 0",  # tags in capitals
 }
 
 
 def screener_pages(lineitem: DataFrame) -> DataFrame:
     s = SCREEN_SQL
-    td = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
     e = lambda x: F.expr(x)
+    tag = lambda t: F.when(e(s["upper"]), F.lit(t.upper())).otherwise(F.lit(t))
+    td = lambda x: F.concat(tag("<td>"), x, tag("</td>"))
     cells = [
         F.when(e("l_linestatus = 'F'"), F.lit("D")).otherwise(F.lit("")),
         F.when(e("l_linenumber = 7"), F.lit("bad")).otherwise(wall_text("l_shipdate")),
         F.date_sub(F.to_date("l_shipdate"), 2).cast("string"),
         F.concat(F.lit('<a href="/'), e(s["page_ticker"]), F.lit('">'), e(s["page_ticker"]), F.lit("</a>")),
-        F.concat(F.lit('<a href="/insider/1">Doe &amp; Co '), F.col("l_partkey").cast("string"), F.lit("</a>")),
+        F.concat(F.lit('<a href="/insider/1">Doe &amp; Co&#8217;s Ren&#xE9;e&eacute; &amp;lt; '), F.col("l_partkey").cast("string"), F.lit("</a>")),
         F.when(e("l_discount > 0.05"), F.lit("CEO; Dir")).otherwise(F.lit("Dir")),
         e("CASE l_returnflag WHEN 'A' THEN 'P - Purchase' WHEN 'R' THEN 'S - Sale' ELSE 'A - Grant' END"),
         F.concat(F.lit("$"), e(_money(s["cents"]))),
@@ -270,8 +293,9 @@ def screener_pages(lineitem: DataFrame) -> DataFrame:
         F.concat(e(s["sign"]), F.lit("$"), e(_money(f"{s['cents']} * CAST(l_quantity AS BIGINT)"))),
         F.lit("-2%"), F.lit(""), F.lit("+1%"), F.lit("&nbsp;"),
     ]
-    data = F.concat(F.lit('<table class="tinytable"><thead><tr><th>X</th></tr></thead><tbody><tr>'),
-                    *[td(c) for c in cells], F.lit("</tr></tbody></table>"))
+    data = F.concat(F.lit('<table class="tinytable"><thead><tr><th>X</th></tr></thead>'), tag("<tbody><tr>"),
+                    *[td(c) for c in cells[:7]], _opt(~e(s["short"]), F.concat(*[td(c) for c in cells[7:]])),
+                    tag("</tr></tbody>"), F.lit("</table>"))
     html = F.concat(F.lit('<html><body><form><table><tbody><tr><td>Filter</td></tr></tbody></table></form>'),
                     F.when(e(s["single"]), F.lit("")).otherwise(data), F.lit("</body></html>"))
     return lineitem.select(e(s["page_ticker"]).alias("page_ticker"), F.col("l_orderkey").alias("page_id"),

@@ -47,10 +47,12 @@ WITH tx AS ({tx_sql}),
 g AS (
   SELECT {k},
          CAST(sum(qty) AS BIGINT) AS total_qty,
-         sum(CAST(price AS DECIMAL(20,6)) * CAST(abs(qty) AS DECIMAL(20,0))) AS total_value,
+         sum(TRY_CAST(CAST(CAST(price AS DOUBLE) * abs(CAST(qty AS HUGEINT)) AS VARCHAR) AS DECIMAL(38,10))) AS total_value,
          min(trade_date) AS first_trade_date,
          count(*) AS n_trades
-  FROM tx GROUP BY {k})
+  FROM tx GROUP BY {k}
+  HAVING abs(sum(qty)) <= 9223372036854775807
+     AND count(*) = count(TRY_CAST(CAST(CAST(price AS DOUBLE) * abs(CAST(qty AS HUGEINT)) AS VARCHAR) AS DECIMAL(38,10))))
 SELECT accession, {hdr}trade_type, first_trade_date AS trade_date,
        {round_half_away(avg, 2)} AS price,
        total_qty AS qty,

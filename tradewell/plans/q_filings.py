@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tradewell.operators.combine import combine_transactions
+from pyspark.sql import functions as F
+
+from tradewell.operators.combine import AMOUNT_REASON, combine_transactions, combine_with_rejects
+from tradewell.operators.dedup import dedup_keep_first
 from tradewell.operators.filings import REASONS, TX_REASONS, parse_filings
 from tradewell.plans import fixtures as fx
 from tradewell.plans import oracle as o
 from tradewell.plans.registry import register
+from tradewell.sources.sec import corpus_rows
 
 # DuckDB spellings of the few fixture expressions that differ from Spark's.
 _DUCK = {
@@ -21,7 +25,7 @@ def _d(k):
     return _DUCK.get(k) or fx.FILING_SQL.get(k) or fx.LINE_SQL[k]
 
 
-HEADER = ["x_flag", "filing_ts", "ticker", "insider_name", "title"]
+from tradewell.operators.combine import HEADER_COLS as HEADER  # noqa: E402
 OUT = ["accession", "x_flag", "filing_ts", "ticker", "insider_name", "title", "trade_type",
        "trade_date", "price", "qty", "value"]
 
@@ -84,3 +88,68 @@ def filing_trades_with_defects(spark, sf_dir):
                                defects=True)
     tx, _ = parse_filings(docs)
     return combine_transactions(tx, header_cols=HEADER).select(*OUT)
+
+
+# A1 + J3: every filing lies under two CIKs (issuer and owner), and the trades
+# are those of one of them.
+@register("filing_two_ciks", f"SELECT {', '.join(OUT)} FROM ({o.combine(_TX_SQL, False, HEADER)})")
+def filing_two_ciks(spark, sf_dir):
+    docs = fx.filing_documents(fx.table(spark, sf_dir, "orders"), fx.table(spark, sf_dir, "lineitem"))
+    docs = docs.withColumn("cik", F.explode(F.array("cik", F.lit("9999999999"))))
+    tx, _ = parse_filings(docs)
+    trades = combine_transactions(tx, header_cols=HEADER, filing_key=["cik", "accession"]).drop("cik")
+    return dedup_keep_first(trades, key=[c for c in OUT if c != "x_flag"], keep_cols=OUT)
+
+
+# numbers at the edge, two transactions to a document, files not named
+# like an accession: trades and rejects.
+_X_TX = f"""
+SELECT * REPLACE (CASE l_linenumber WHEN 4 THEN 1e20 WHEN 3 THEN 1e30 ELSE price END AS price,
+                  CASE WHEN l_linenumber = 2 THEN CASE WHEN a_d = 'D' THEN -{fx.BIG} ELSE {fx.BIG} END ELSE qty END AS qty,
+                  'D' AS x_flag)
+FROM ({_TX_SQL.replace('SELECT ', 'SELECT l_linenumber, o_orderkey, ', 1)}), (SELECT unnest([1, 2]) AS copy)
+WHERE l_linenumber <> 1 AND o_orderkey % 97 <> 0"""
+
+
+def _extreme(spark, sf_dir):
+    docs = fx.filing_documents(fx.table(spark, sf_dir, "orders"), fx.table(spark, sf_dir, "lineitem"), extremes=True)
+    # the landed file's name: some are not named like an accession
+    odd = F.substring("accession", -6, 6).cast("int") % 97 == 0
+    name = F.when(odd, F.concat(F.lit("copy-"), F.col("accession"), F.lit("-of.txt"))).otherwise(
+        F.concat(F.col("accession"), F.lit(".txt")))
+    paths = docs.select(F.col("body").alias("value"), F.concat(F.lit("/data/"), F.col("cik"), F.lit("/"), name).alias("p"))
+    tx, bad = parse_filings(corpus_rows(paths))
+    trades, lost = combine_with_rejects(tx, header_cols=HEADER, filing_key=["cik", "accession"])
+    return trades.drop("cik"), bad.unionByName(lost, allowMissingColumns=True)
+
+
+@register("filing_extremes", f"SELECT {', '.join(OUT)} FROM ({o.combine(_X_TX, False, HEADER)})")
+def filing_extremes(spark, sf_dir):
+    return _extreme(spark, sf_dir)[0].select(*OUT)
+
+
+_X_GROUPS = f"""SELECT accession FROM ({_X_TX}) GROUP BY accession, x_flag, filing_ts, ticker, insider_name, title, trade_type, a_d
+HAVING abs(sum(qty)) > 9223372036854775807
+    OR count(*) > count(TRY_CAST(CAST(CAST(price AS DOUBLE) * abs(CAST(qty AS HUGEINT)) AS VARCHAR) AS DECIMAL(38,10)))"""
+
+
+@register("filing_extreme_rejects", f"""
+SELECT CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE {_d('accession')} END AS accession,
+       CASE WHEN o_orderkey % 97 = 0 THEN '{REASONS[7]}' ELSE '{TX_REASONS[2]}' END AS reject, count(*) AS n
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey, (SELECT unnest([1, 2]) AS copy)
+WHERE (o_orderkey % 97 = 0 AND copy = 1) OR (o_orderkey % 97 <> 0 AND l_linenumber = 1) GROUP BY ALL
+UNION ALL SELECT accession, '{AMOUNT_REASON}', count(*) FROM ({_X_GROUPS}) GROUP BY accession""")
+def filing_extreme_rejects(spark, sf_dir):
+    return _extreme(spark, sf_dir)[1].groupBy("accession", "reject").agg(F.count("*").alias("n"))
+
+
+# Prices of ten decimals keep them all
+_FINE = o.LINEITEM_TX.replace("l_extendedprice AS price", "l_extendedprice * 1e-8 AS price").replace(
+    "CAST(l_quantity AS BIGINT)", "CAST(l_quantity AS BIGINT) * 1000003")
+
+
+@register("combine_fine_prices", f"SELECT accession, x_flag, trade_type, trade_date, price, qty, value FROM ({o.combine(_FINE, False, ['x_flag'])})")
+def combine_fine_prices(spark, sf_dir):
+    tx = fx.lineitem_transactions(fx.table(spark, sf_dir, "lineitem"))
+    tx = tx.withColumn("price", F.col("price") * F.lit(1e-8)).withColumn("qty", F.col("qty") * 1000003)
+    return combine_transactions(tx).select("accession", "x_flag", "trade_type", "trade_date", "price", "qty", "value")

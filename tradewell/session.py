@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,14 +47,16 @@ def checkpoint_base(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names it on a cluster (read from the session,
-    never overridden). Only when no checkpoint folder is configured at all --
-    local runs, tests -- is one created under the system temp dir and given
-    to the SparkContext.
+    never overridden). Only on a local master, when none is configured, is one
+    created under the system temp dir; on a cluster that would be each
+    machine's own disk, so there it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tradewell-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     elif not spark.sparkContext.getCheckpointDir():
@@ -67,17 +70,7 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
     return os.path.join(base, sub) if "://" not in base else f"{base.rstrip('/')}/{sub}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Spread CPU-heavy per-row work (XML / HTML parsing) over the cluster.
-
-    Only when the *scan* gives fewer partitions than the cluster can run at
-    once (e.g. one small file with one row group); a large input already has
-    enough splits and is returned unchanged, with no shuffle.
-    """
-    spark = df.sparkSession
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
+def spread(df, partitions: int | None):
+    """Spread CPU-heavy per-row work (XML / HTML parsing) over ``partitions``
+    tasks, where the caller asks for it; None leaves the scan's splits."""
+    return df.repartition(partitions) if partitions else df
