@@ -41,32 +41,38 @@ def _let(value, body):
 def repeated_words(words) -> F.Column:
     """Words inside three-word windows that occur twice or more in the text.
 
-    Hashes of the windows tell whether anything repeats; if so the windows
-    themselves are sorted with their positions and compared exactly."""
-    def windows(w, i):
-        return F.struct(w[i].alias("a"), w[i + 1].alias("b"), w[i + 2].alias("c"))
-
-    def covered(w, n):
-        hashes = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]))
-        return _let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == n - 2, F.lit(0).cast("long"))
-                    .otherwise(exact(w, n)))
-
-    def exact(w, n):
-        cells = F.array_sort(F.transform(F.sequence(F.lit(0), n - 3),
-                                         lambda i: F.struct(windows(w, i).alias("w"), i.alias("i"))))
-
-        def starts(s):
-            last = F.size(s) - 1
-            twin = F.filter(s, lambda x, k: ((k > 0) & (F.get(s, k - 1)["w"] == x["w"])) |
-                            ((k < last) & (F.get(s, k + 1)["w"] == x["w"])))
-            return F.sort_array(F.transform(twin, lambda x: x["i"]))
-
+    A long per window holds the upper bits of its hash and, below, its place;
+    sorted, windows with equal bits are neighbours. Only those are compared
+    word by word, sorted with their places."""
+    left = lambda x, k: F.call_function("shiftleft", x, k)
+    right = lambda x, k: F.call_function("shiftright", x, k)
+
+    def candidates(w, n, k):
+        packed = F.transform(F.sequence(F.lit(0), n - 3),
+                             lambda i: left(right(F.xxhash64(w[i], w[i + 1], w[i + 2]), k), k) + i)
+        return _let(F.sort_array(packed), lambda s: F.filter(s, lambda x, j: _let(right(x, k), lambda h: (
+            h == right(F.get(s, j - 1), k)) | (h == right(F.get(s, j + 1), k)))))
+
+    def starts(w, k, found):
+        at = lambda x: (x - left(right(x, k), k)).cast("int")
+        cells = F.sort_array(F.transform(found, lambda x: _let(at(x), lambda i: F.struct(
+            F.struct(w[i].alias("a"), w[i + 1].alias("b"), w[i + 2].alias("c")).alias("w"), i.alias("i")))))
+        return _let(cells, lambda s: F.sort_array(F.transform(
+            F.filter(s, lambda x, j: (F.get(s, j - 1)["w"] == x["w"]) | (F.get(s, j + 1)["w"] == x["w"])),
+            lambda x: x["i"])))
+
+    def count(found):
         # a window adds the words that the window before it did not cover
-        return F.aggregate(_let(cells, starts), F.struct(F.lit(-3).alias("p"), F.lit(0).cast("long").alias("n")),
+        return F.aggregate(found, F.struct(F.lit(-3).alias("p"), F.lit(0).cast("long").alias("n")),
                            lambda a, p: F.struct(p.alias("p"), (a["n"] + F.least(F.lit(3), p - a["p"])).alias("n")),
                            lambda a: a["n"])
 
-    return _let(words, lambda w: _let(F.size(w), lambda n: F.when(n < 3, F.lit(0).cast("long")).otherwise(covered(w, n))))
+    def covered(w, n, k):
+        return _let(candidates(w, n, k), lambda c: F.when(F.size(c) == 0, F.lit(0).cast("long")).otherwise(
+            count(starts(w, k, c))))
+
+    return _let(words, lambda w: _let(F.size(w), lambda n: F.when(n < 3, F.lit(0).cast("long")).otherwise(
+        _let(F.ceil(F.log2(n)).cast("int"), lambda k: covered(w, n, k)))))
 
 
 def text_statistics(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", source_col="source") -> DataFrame:
