@@ -6,9 +6,9 @@ over the whole corpus in a hashed table, then the hash). Two sets that link
 share a shingle among the first fifth of each, so rows meet in tiles keyed by
 such a shingle. First each tile's most typical set is compared with the
 others, which joins most of a group of copies in linear work. Then, only in
-tiles that still hold several components, rows are cut into size bands (a set
-links only with sets of its band or the next) and every pair of different
-components is bounded by hashed bitmap signatures: a set has at least as many
+tiles that still hold several components, rows are ordered by size (a set links
+only with sets of its size band or the next; large tiles are cut into such
+bands) and every pair of different components is bounded by hashed bitmap signatures: a set has at least as many
 shingles of its own as its bitmap has bits that the other lacks. Pairs that
 the bound leaves are decided by intersecting the sorted arrays. No pair is
 dropped otherwise, so no link is lost.
@@ -281,26 +281,35 @@ def banded_pairs(rows: DataFrame) -> DataFrame:
 
 
 def remaining_pairs(tiles: DataFrame, comp: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes of different components that share a tile and may link."""
-    rows = (tiles.select("tok", "node").join(comp, "node", "left")
-            .select("tok", "node", F.coalesce("component", "node").alias("comp")))
-    rows = stored(rows, "tile-components")
-    mixed = rows.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("tok")
-    rows = rows.join(stored(mixed, "mixed-tiles"), "tok")
-    rows = stored(rows.join(nodes.select("node", "n", "bits"), "node"), "mixed-rows")
-    band = F.floor(F.log(F.col("n").cast("double")) / -float(np.log(BAND))).cast("long")
-    # a set meets its own band as either partner, the band below only as the larger one
-    rows = (rows.withColumn("at", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("lower")),
-                                                    F.struct((band - 1).alias("band"), F.lit(False).alias("lower")))))
-            .select("tok", "at.band", "at.lower", "node", "n", "comp", "bits"))
+    """Pairs of nodes of different components that share a tile and may link.
+
+    A tile of up to TILE rows is one block. A larger one is cut into size bands
+    (a set meets its own band as either partner, the band below only as the
+    larger one), and a band that is still too large into pairs of row blocks."""
+    rows = (tiles.select("tok", "node", "n").join(comp, "node", "left")
+            .select("tok", "node", "n", F.coalesce("component", "node").alias("comp")))
+    rows = known = stored(rows, "tile-components")
+    mixed = (rows.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+             .where("lo != hi").select("tok", (F.col("m") > TILE).alias("large")))
+    mixed = stored(mixed, "mixed-tiles")
+    rows = rows.join(mixed, "tok")
+    of = F.floor(F.log(F.col("n").cast("double")) / -float(np.log(BAND))).cast("long")
+    place = lambda band, lower: F.struct(band.alias("band"), F.lit(lower).alias("lower"))
+    whole = F.array(place(F.lit(0).cast("long"), True))
+    rows = (rows.withColumn("at", F.explode(F.when(F.col("large"), F.array(place(of, True), place(of - 1, False))).otherwise(whole)))
+            .select("tok", "at.band", "at.lower", "node", "n", "comp"))
     size = stored(rows.groupBy("tok", "band").agg(F.count("*").alias("m"), F.max("lower").alias("any"))
                   .where("m > 1 AND any").select("tok", "band", F.ceil(F.col("m") / TILE).cast("long").alias("blocks")), "tile-sizes")
     rows = rows.join(size, ["tok", "band"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
     rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
-    rows = (rows.select("tok", "band", "i", "j", "n", "node", "comp", "block", "lower", "bits")
+    rows = (rows.join(nodes.select("node", "bits"), "node")
+            .select("tok", "band", "i", "j", "n", "node", "comp", "block", "lower", "bits")
             .repartition("tok", "band", "i", "j").sortWithinPartitions("tok", "band", "i", "j", "n", F.desc("lower"), "node"))
-    return banded_pairs(rows).distinct()
+    pairs = stored(banded_pairs(rows).distinct(), "pairs")
+    for done in (tiles, known, mixed, size):
+        drop_stored(done)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -319,22 +328,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     logs = spark.sparkContext.broadcast(shingle_counts(src.select("text")))
     prof = stored(profiles(src, logs), "profiles")
     whole = prof.where("n > 0 AND id IS NOT NULL")
-    # equal sets are one node, named by its least id
-    best = whole.groupBy("sig").agg(F.min(F.struct("id", "n", "typical", "bits", "first")).alias("x"))
-    reps = best.select("sig", F.col("x.id").alias("node"), "x.n", "x.typical", "x.bits", "x.first")
-    reps = stored(reps, "nodes")
-    nodes = reps.select("node", "n", "bits")
-    tokens = reps.select(F.explode("first").alias("tok"), "typical", "n", "node").repartition("tok")
+    # equal sets are one node, named by its least id; the other ids stand aside
+    # (Spark broadcasts them if their table is small), so the wide rows stay put
+    reps = stored(whole.groupBy("sig").agg(F.min("id").alias("node")), "nodes")
+    ids = whole.select("id", "sig").join(reps, "sig")
+    spare = stored(ids.where("id != node").select("id", "sig").distinct(), "copies")
+    nodes = whole.join(spare, ["id", "sig"], "left_anti").withColumnRenamed("id", "node")
+    tokens = nodes.select(F.explode("first").alias("tok"), "typical", "n", "node").repartition("tok")
     tiles = stored(shared_tiles(tokens.sortWithinPartitions("tok", F.desc("typical"), "n", "node")), "tiles")
     pairs = (tiles.where("node != pivot AND 100 * least(n, pn) >= 80 * greatest(n, pn)")
              .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
     links = linked(stored(pairs, "pairs"), nodes, src)
     comp = components(links)
-    more = linked(stored(remaining_pairs(tiles, comp, nodes), "pairs"), nodes, src)
+    more = linked(remaining_pairs(tiles, comp, nodes), nodes, src)
     if not more.isEmpty():
         comp = components(more.union(comp.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     # a document is its set's node; rows that share an id follow the least node
-    named = reps.select("sig", "node").join(comp, "node", "left").select("sig", F.coalesce("component", "node").alias("c"))
+    named = reps.join(comp, "node", "left").select("sig", F.coalesce("component", "node").alias("c"))
     out = prof.select("id", "n", F.when(F.expr("n > 0 AND id IS NOT NULL"), F.col("sig")).alias("sig"))
     return (out.join(stored(named, "named"), "sig", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("c", "id").alias("component_id")))
