@@ -26,7 +26,8 @@ from tradewell.llm.ordered import as_batch
 
 FEATURES, RANK, EXTRA, BLOCK = 1 << 14, 48, 8, 64
 WINDOW, STEP, ITEM_STEP = 24, 12, 4
-COSINE = 0.45       # candidates: cosine in the latent space
+COSINE = 0.35      # candidates: cosine in the latent space
+SHARED = 0.4        # candidates: share of the shorter window's or item's words that both have
 COPY = 0.8          # share of an item's words, in order, that makes a copy
 PARAPHRASE = 0.6    # share that makes a paraphrase, if the answer is there too
 ANSWER = 0.75       # share of the answer's words, in order
@@ -175,6 +176,13 @@ def lcs(a: list, b: list) -> int:
     return len(a) - row.bit_count()
 
 
+def signatures(h, rows, n) -> np.ndarray:
+    """(n, 4): 256-bit signatures of the words of each row."""
+    bits = np.zeros((n, 256), np.uint8)
+    bits[rows, (h & np.uint64(255)).astype(np.int64)] = 1
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
 def answer_start(text: str) -> int:
     """Where the last sentence (or line) starts: the item's answer."""
     body = text.rstrip(" \t\r\n.!?")
@@ -220,25 +228,34 @@ def search(src: DataFrame, block: list, idf: np.ndarray, space: np.ndarray) -> D
         starts += list(first)
         owners += [n] * len(first)
     queries = np.concatenate(rows).T.copy()
-    sent = src.sparkSession.sparkContext.broadcast((idf, space, queries, np.array(starts), np.array(owners),
+    marks = signatures(np.concatenate([h for _, h, _ in block]), owner(np.array([len(h) for _, h, _ in block])), len(block))
+    sent = src.sparkSession.sparkContext.broadcast((idf, space, queries, np.array(starts), np.array(owners), marks,
                                                     [(i, h.tolist(), a.tolist()) for i, h, a in block]))
 
     def run(batches):
-        weight, basis, q, q_start, q_item, known = sent.value
+        weight, basis, q, q_start, q_item, q_marks, known = sent.value
+        q_bits = np.bitwise_count(q_marks).sum(1, dtype=np.int64)
         words = Words()
         sets = [set(h) for _, h, _ in known]
         for b in batches:
             found = []
             for lo, _, h, counts in words.chunks(b.column(1)):
-                row, f, val, (text, first, _) = vectors(h, counts, STEP, True, weight)
+                row, f, val, (text, first, length) = vectors(h, counts, STEP, True, weight)
                 if not len(text):
                     continue
                 z = unit(project(row, f, val, len(text), basis))
                 base = np.cumsum(counts) - counts
+                of = owner(length)
+                word = np.arange(len(of)) - np.repeat(np.cumsum(length) - length, length) + (base[text] + first)[of]
+                marks = signatures(h[word], of, len(text))
+                bits = np.bitwise_count(marks).sum(1, dtype=np.int64)
                 tried = {}
                 for at in range(0, len(z), 2048):
                     w, j = np.nonzero(z[at:at + 2048] @ q >= COSINE)
-                    for wi, qi in zip((w + at).tolist(), j.tolist()):
+                    w, item = w + at, q_item[j]
+                    both = np.bitwise_count(marks[w] & q_marks[item]).sum(1, dtype=np.int64)
+                    near = both >= SHARED * np.minimum(bits[w], q_bits[item])
+                    for wi, qi in zip(w[near].tolist(), j[near].tolist()):
                         # where the item would start if the two windows were the same
                         t, n = int(text[wi]), int(q_item[qi])
                         place = int(first[wi]) - int(q_start[qi])
