@@ -114,7 +114,10 @@ def disclosing_terms(docs: DataFrame) -> DataFrame:
     pairs = (near.groupBy("entity", "term", "context").agg(F.count_distinct("id").alias("docs"))
              .groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("docs"))
              .where(F.col("contexts") >= CONTEXTS))
-    pairs = stored(pairs, "entity-terms")
+    # a term has at least the documents that have it near some entity, which
+    # bounds its share from above: common words need not be counted further
+    around = near.groupBy("term").agg(F.count_distinct("id").alias("around"))
+    pairs = stored(pairs.join(around, "term").where(F.col("docs") >= REVEALS * F.col("around")).drop("around"), "entity-terms")
     entities = near.groupBy("entity").agg(F.count_distinct("id").alias("own"))
     wanted = stored(pairs.select("term").distinct(), "candidate-terms")
     # documents with a candidate, over the whole corpus; candidates are broadcast only if Spark finds the table small
