@@ -89,3 +89,13 @@ def test_odd_rows(spark):
         assert numbers(got[i]) == base(t)[0]
     assert got[9].kept and not got[7].kept
     assert quality_rules(df.limit(0)).count() == 0
+
+
+def test_large_groups_use_their_own_covariance(spark):
+    sf = "/root/testdata/sf0.1"
+    label = {r.doc_id: r.quality for r in table(spark, sf, "labels").collect()}
+    rows = [r for r in QUERIES["op3_quality_rules"](spark, sf).collect() if not r.base_failed]
+    bad, good = ([r.kept for r in rows if label.get(r.doc_id) == q] for q in (0, 1))
+    print("rejected of bad, good", bad.count(False), len(bad), good.count(False), len(good))
+    assert bad.count(False) >= 0.8 * len(bad)
+    assert good.count(False) <= 0.025 * len(good)

@@ -23,9 +23,14 @@ from tradewell.llm.common import register, stored, table, words_of
 DIMS = ["x0", "x1", "x2", "x3", "x4"]
 D = len(DIMS)
 PAIRS = [(i, j) for i in range(D) for j in range(i + 1)]
-# Variance that every dimension has at least: log of length, log of the mean
-# word length, square roots of the shares of signs, repeated lines, repeated words.
+# Prior variance: log of length, log of the mean word length, square roots of
+# the shares of signs, repeated lines, repeated words. It counts in full in
+# groups of up to PRIOR rows and falls as PRIOR / rows in larger ones, where the
+# group's own covariance decides; LEAST keeps that one regular (shares of lines
+# and of repeats move in steps of whole lines and windows).
 FLOORS = [0.25, 0.02, 0.01, 0.01, 0.01]
+PRIOR = 30
+LEAST = [0.002, 0.0005, 0.0005, 0.004, 0.004]
 SHARE = 0.75          # share of a group's rows in its h-subset
 CONSISTENT = 1.41     # makes the 75 % covariance consistent at the normal law, 5 dimensions
 REWEIGHT = 12.833     # 97.5 % quantile of chi-square with 5 degrees of freedom
@@ -113,10 +118,15 @@ _UNIT = float(1 << 20)
 
 def _moments():
     exact = lambda c: F.sum(F.round(c * _UNIT).cast("decimal(38,0)"))
-    return ([F.count("*").alias("n")] + [exact(F.col(x)).alias(f"s{i}") for i, x in enumerate(DIMS)]
+    return ([F.max("size").alias("size"), F.count("*").alias("n")] + [exact(F.col(x)).alias(f"s{i}") for i, x in enumerate(DIMS)]
             + [exact(F.col(DIMS[i]) * F.col(DIMS[j])).alias(f"q{i}{j}") for i, j in PAIRS])
 
 
+def _floor(i: int) -> F.Column:
+    """Variance added in dimension i, by the group's number of rows (column size)."""
+    return F.least(F.lit(1.0), PRIOR / F.col("size")) * FLOORS[i] + LEAST[i]
+
+
 MOMENTS = ["n"] + [f"s{i}" for i in range(D)] + [f"q{i}{j}" for i, j in PAIRS]
 
 
@@ -127,14 +137,14 @@ def _estimate(m: DataFrame, factor: float) -> DataFrame:
     df = m.withColumns({f"m{i}": F.col(f"s{i}").cast("double") / _UNIT / n for i in range(D)})
     df = df.withColumns({f"c{i}{j}": factor * F.greatest(
         (F.col(f"q{i}{j}").cast("double") / _UNIT / n - F.col(f"m{i}") * F.col(f"m{j}")), F.lit(0.0) if i == j else F.lit(-1e300))
-        + (FLOORS[i] if i == j else 0.0) for i, j in PAIRS})
+        + (_floor(i) if i == j else F.lit(0.0)) for i, j in PAIRS})
     for i, j in sorted(PAIRS):
         below = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
         rest = F.col(f"c{i}{j}") - below
-        df = df.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(FLOORS[i] / 2))) if i == j else rest / F.col(f"l{j}{j}"))
+        df = df.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, _floor(i) / 2)) if i == j else rest / F.col(f"l{j}{j}"))
     logdet = sum((2 * F.log(F.col(f"l{i}{i}")) for i in range(D)), F.lit(0.0))
     keep = [f"m{i}" for i in range(D)] + [f"l{i}{j}" for i, j in PAIRS]
-    return df.select("lang", "source", *keep, logdet.alias("logdet"))
+    return df.select("lang", "source", "size", *keep, logdet.alias("logdet"))
 
 
 def _distance(df: DataFrame) -> DataFrame:
@@ -164,7 +174,7 @@ def _subset(binned: DataFrame) -> DataFrame:
     run = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     df = (binned.withColumn("before", F.coalesce(F.sum("n").over(run), F.lit(0)))
           .withColumn("all", F.sum("n").over(group)).where(F.col("before") < F.ceil(SHARE * F.col("all"))))
-    return df.groupBy("lang", "source").agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in MOMENTS])
+    return df.groupBy("lang", "source").agg(F.max("size").alias("size"), *[F.sum(c).cast("decimal(38,0)").alias(c) for c in MOMENTS])
 
 
 def _start(rows: DataFrame) -> DataFrame:
@@ -175,13 +185,13 @@ def _start(rows: DataFrame) -> DataFrame:
     group = Window.partitionBy("lang", "source", "dim")
     cells = (cells.withColumn("upto", F.sum("n").over(group.orderBy("v"))).withColumn("all", F.sum("n").over(group)))
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("v"))) / 256.0
-    q = cells.groupBy("lang", "source", "dim").agg(at(0.25).alias("lo"), at(0.5).alias("mid"), at(0.75).alias("hi"))
+    q = cells.groupBy("lang", "source", "dim").agg(F.max("all").alias("size"), at(0.25).alias("lo"), at(0.5).alias("mid"), at(0.75).alias("hi"))
     pick = lambda d, c: F.max(F.when(F.col("dim") == d, F.col(c)))
     var = F.pow((F.col("hi") - F.col("lo")) / 1.349, 2)
     q = q.withColumn("var", var)
     cols = [pick(i, "mid").alias(f"m{i}") for i in range(D)]
-    cols += [(F.sqrt(pick(i, "var") + FLOORS[i]) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i, j in PAIRS]
-    return q.groupBy("lang", "source").agg(*cols).withColumn("logdet", F.lit(float("inf")))
+    cols += [(F.sqrt(pick(i, "var") + F.max(_floor(i))) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i, j in PAIRS]
+    return q.groupBy("lang", "source").agg(F.max("size").alias("size"), *cols).withColumn("logdet", F.lit(float("inf")))
 
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
@@ -205,7 +215,8 @@ def quality_rules(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="l
 
     Null texts have no words and fail the base rule. Rows that fail it take no
     part in the estimates. Null languages and sources are groups of their own;
-    a group of any size has an estimate, because every variance has a floor.
+    a group of any size has an estimate: a prior variance counts in small
+    groups and fades in large ones.
     Repeated rows stay; an empty table gives an empty result; other columns are
     not read."""
     stats = stored(text_statistics(docs, id_col, text_col, lang_col, source_col), "text-statistics")
