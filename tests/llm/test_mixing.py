@@ -34,6 +34,12 @@ def test_fit_of_long_documents():
     assert sum(int(t) * a for t, a in zip(fit_budget(lengths, counts, budget, 1), lengths)) == budget
 
 
+def test_fit_of_documents_longer_than_the_program():
+    take = fit_budget([5, 1_500_000, 1_510_000, 1_600_000], [1, 1, 1, 1], 1_520_000, 1)
+    assert take.tolist() == [1, 0, 1, 0]
+    assert fit_budget([1_600_000, 1_700_000], [1, 1], 1_520_000, 1).tolist() == [0, 0]
+
+
 def test_targets():
     t = targets({"b": 100, "a": 10, None: 1000, "c": 50})
     assert t["a"] == 30 and sum(t.values()) == pytest.approx(1160 if t["b"] < 300 else sum(t.values()))

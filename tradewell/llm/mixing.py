@@ -59,6 +59,12 @@ def fit_budget(lengths, counts, budget: int, seed: int):
                 take[i] += 1
                 left -= int(lengths[i])
                 moved = True
+    if left > 16 * WINDOW:  # open documents are longer than left - WINDOW // 2: one at most fits, the longest is best
+        fits = np.flatnonzero((take < counts) & (lengths <= left))
+        if len(fits):
+            i = fits[np.argmax(lengths[fits])]
+            take[i] += 1
+            left -= int(lengths[i])
     room = min(left, 16 * WINDOW)
     mask = (1 << (room + 1)) - 1
     reach, steps = 1, []  # bit w: w words can be made of the parts so far
