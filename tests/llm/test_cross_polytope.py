@@ -1,0 +1,96 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from tradewell.llm import cross_polytope
+from tradewell.llm.common import table
+from tradewell.llm.cross_polytope import Polytopes, hadamard, nearest_rows
+from tradewell.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.1"
+SCHEMA = "vec_id long, embedding array<double>, query_id string, id int"
+
+
+def brute(ids, x, queries, k=5):
+    size = np.sqrt((x * x).sum(1))
+    out = {}
+    for i in np.flatnonzero(np.isin(ids, queries)):
+        s = x @ x[i] / (size * size[i])
+        s[ids == ids[i]] = -np.inf
+        at = np.lexsort((ids, -np.round(s, 12)))[:k]
+        out[int(ids[i])] = [(int(ids[j]), float(s[j])) for j in at if np.isfinite(s[j])]
+    return out
+
+
+def result(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def test_hadamard_is_orthonormal():
+    h = hadamard(np.eye(8))
+    assert np.allclose(h @ h.T, np.eye(8)) and np.allclose(np.abs(h), 8 ** -0.5)
+
+
+def test_probes_hold_every_bucket_within_the_cost():
+    rnd = np.random.default_rng(1)
+    hashes = Polytopes(6, 3)
+    x = rnd.standard_normal((40, 6))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    c = hashes.costs(x)
+    for most in (0.0, 0.4):
+        for t, (bucket, query) in enumerate(hashes.probes(x, most)):
+            both = c[:, 2 * t, :, None] + c[:, 2 * t + 1, None, :]
+            q, a, b = np.nonzero(both <= most)
+            assert sorted(zip(bucket, query)) == sorted(zip(a * 2 * hashes.width + b, q))
+    # a row's own bucket costs nothing
+    own = hashes.codes(x)
+    a, b = own // (2 * hashes.width), own % (2 * hashes.width)
+    r, t = np.indices(own.shape)
+    assert np.allclose(c[r, 2 * t, a] + c[r, 2 * t + 1, b], 0)
+
+
+def test_query_recall(spark):
+    rows = table(spark, SF, "embeddings").toPandas()
+    true = brute(rows.vec_id.to_numpy(), np.array(rows.embedding.tolist(), float), [i for i in rows.vec_id if i % 50 == 0])
+    got = result(QUERIES["op12_nearest_vectors"](spark, SF))
+    assert set(got) == set(true) and all(len(v) == 5 for v in got.values())
+    found = [len({i for i, _ in got[q]} & {i for i, _ in v}) / 5 for q, v in true.items()]
+    assert np.mean(found) >= 0.9
+    x = dict(zip(rows.vec_id, np.array(rows.embedding.tolist(), float)))
+    for q, near in got.items():
+        for i, s in near:
+            assert abs(s - x[q] @ x[i] / np.sqrt((x[q] @ x[q]) * (x[i] @ x[i]))) < 1e-14
+
+
+def test_copies_blocks_and_odd_rows(spark, monkeypatch):
+    """A third of the rows are one vector (ties by id); small blocks; a query
+    whose bucket holds nobody else still gets all it can have."""
+    monkeypatch.setattr(cross_polytope, "BLOCK_BYTES", 200_000)
+    rnd = np.random.default_rng(3)
+    x = rnd.standard_normal((300, 10))
+    x[:100] = x[0]
+    x[150:160] *= 1e200
+    rows = [(int(i), v.tolist(), "q", 1) for i, v in enumerate(x)]
+    odd = [(None, [1.0] * 10, "q", 1), (1000, None, "q", 1), (1010, [None] + [1.0] * 9, "q", 1), (1020, [float("nan")] * 10, "q", 1),
+           (1030, [0.0] * 10, "q", 1), (1040, [], "q", 1)]
+    df = spark.createDataFrame([*rows, *odd], SCHEMA)
+    got = result(nearest_rows(df, F.col("vec_id") % 10 == 0, tables=8))
+    y = x.copy()
+    y[150:160] /= 1e200
+    true = brute(np.arange(300), y, np.arange(0, 300, 10))
+    assert set(got) == set(true)
+    assert [i for i, _ in got[0]] == [1, 2, 3, 4, 5] and [i for i, _ in got[50]] == [0, 1, 2, 3, 4]
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in true[q]}) / 5 for q in true]) >= 0.9
+
+
+def test_fewer_rows_than_neighbours(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [-1.0, -1.0]), (2, [-1.0, -1.0])]
+    df = spark.createDataFrame([(*r, "q", 1) for r in rows], SCHEMA)
+    got = result(nearest_rows(df, F.col("vec_id") == 0))
+    assert [i for i, _ in got[0]] == [1, 2, 2] and np.allclose([s for _, s in got[0]], [0, -0.5 ** 0.5, -0.5 ** 0.5])
+    assert nearest_rows(df.limit(0), F.col("vec_id") == 0).count() == 0
+    assert nearest_rows(df, F.col("vec_id") == 7).count() == 0
+    assert nearest_rows(df.limit(1), F.col("vec_id") == 0).count() == 0
