@@ -25,10 +25,11 @@ from tradewell.operators.combine import HEADER_COLS, combine_with_rejects
 from tradewell.operators.event_study import event_study, label_lines, open_market_trades
 from tradewell.operators.filings import parse_filings
 from tradewell.operators.resolve import limit_filings, resolve_ciks, select_documents, unresolved
-from tradewell.operators.screener import screener_trades, table_cells
-from tradewell.session import get_spark, spread
+from tradewell.operators.screener import page_items, page_rejects, screener_trades
+from tradewell.session import drop_written, get_spark, spread, written
 from tradewell.sinks.store import resolve_mode, save_trades
 from tradewell.sources.prices import read_price_csv, read_price_table
+from tradewell.sources.screener import read_pages
 from tradewell.sources.sec import (compact_corpus, form4_only, read_corpus, read_filing_index,
                                    read_filing_index_rejects, read_ticker_dictionary)
 from tradewell.sources.store import read_store
@@ -82,7 +83,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("symbols", nargs="*")
     s.add_argument("-f")
     s.add_argument("-n", "--processes", type=int, help="ignored: Spark sets the parallelism")
-    s.add_argument("--pages", required=True, help="Parquet with ticker, html")
+    s.add_argument("--pages", required=True, help="Parquet with ticker, html, or landed pages (a pattern ending in .html or .htm)")
+    s.add_argument("--rejects", help="folder for pages and rows that give no trade (default: <store>_rejects)")
     s.add_argument("--partitions", type=int, help="spread the parsing over N tasks (default: the scan's splits)")
     _store_args(s)
 
@@ -124,13 +126,17 @@ def run_filings(spark, args):
 
 def run_screener(spark, args):
     watch = _watch(spark, args)
-    pages = spark.read.parquet(args.pages).withColumn("ticker", symbol("ticker"))
+    pages = read_pages(spark, args.pages).withColumn("ticker", symbol("ticker"))
     pages = pages.join(watch.withColumnRenamed("symbol", "ticker"), "ticker", "left_semi")
-    pages = spread(pages, args.partitions)
-    rows = screener_trades(table_cells(pages, ["ticker"]).withColumnRenamed("ticker", "page_ticker"),
-                           ["page_ticker"], sep=args.sep)
-    return save_trades(rows, args.store, mode=resolve_mode(args.append, args.rewrite),
-                       fmt=args.format, sep=args.sep)
+    pages = spread(pages, args.partitions).withColumnRenamed("ticker", "page_ticker")
+    # trades and rejects come from one parse of the pages
+    items = written(page_items(pages, ["page_ticker"]), "screener-items")
+    rows = screener_trades(items.where("reject IS NULL"), ["page_ticker"], sep=args.sep)
+    page_rejects(items, ["page_ticker"]).write.mode("append").parquet(args.rejects or f"{args.store.rstrip('/')}_rejects")
+    report = save_trades(rows, args.store, mode=resolve_mode(args.append, args.rewrite),
+                         fmt=args.format, sep=args.sep)
+    drop_written(items)
+    return report
 
 
 def _range(args, now: dt.datetime | None):

@@ -271,21 +271,36 @@ SCREEN_SQL = {
     "qty_abs": "CAST(l_quantity AS BIGINT) * l_partkey",
     "short": "l_linenumber = 2",    # the row ends after the trade type
     "upper": "l_linenumber % 3 = 0",  # tags in capitals
+    "open": "l_linenumber = 6",       # no end tags of cells and rows
+    "nested": "l_linenumber = 5",     # a table inside the title cell
+}
+
+# Pages that give no trades (only with ``defects``; ``single`` pages come first).
+PAGE_DEFECT_SQL = {
+    "absent": "(l_linenumber = 3 AND l_returnflag = 'R')",
+    "bare": "(l_linenumber = 4 AND l_returnflag = 'A')",
+    "wide": "(l_linenumber = 1 AND l_returnflag = 'A')",
 }
 
 
-def screener_pages(lineitem: DataFrame) -> DataFrame:
+def screener_pages(lineitem: DataFrame, defects: bool = False) -> DataFrame:
+    """Pages as the screener's: tags inside quoted attributes, a commented
+    table, tables inside cells, end tags left out, entities of all kinds."""
     s = SCREEN_SQL
     e = lambda x: F.expr(x)
+    bad = {k: (e(v) if defects else F.lit(False)) for k, v in PAGE_DEFECT_SQL.items()}
     tag = lambda t: F.when(e(s["upper"]), F.lit(t.upper())).otherwise(F.lit(t))
-    td = lambda x: F.concat(tag("<td>"), x, tag("</td>"))
+    end = lambda t: _opt(~e(s["open"]), tag(t))
+    td = lambda x: F.concat(tag("<td>"), x, end("</td>"))
+    inner = lambda x: F.when(e(s["nested"]), F.concat(F.lit("<table><tbody><tr><td>"), x, F.lit("</td></tr></tbody></table>"))).otherwise(x)
+    tip = """<a href="/%s" onmouseover="Tip('<img src=x width=500>', DELAY, 1)" title='a > b' onmouseout=UnTip()>"""
     cells = [
         F.when(e("l_linestatus = 'F'"), F.lit("D")).otherwise(F.lit("")),
         F.when(e("l_linenumber = 7"), F.lit("bad")).otherwise(wall_text("l_shipdate")),
         F.date_sub(F.to_date("l_shipdate"), 2).cast("string"),
-        F.concat(F.lit('<a href="/'), e(s["page_ticker"]), F.lit('">'), e(s["page_ticker"]), F.lit("</a>")),
-        F.concat(F.lit('<a href="/insider/1">Doe &amp; Co&#8217;s Ren&#xE9;e&eacute; &amp;lt; '), F.col("l_partkey").cast("string"), F.lit("</a>")),
-        F.when(e("l_discount > 0.05"), F.lit("CEO; Dir")).otherwise(F.lit("Dir")),
+        F.concat(F.format_string(tip, e(s["page_ticker"])), e(s["page_ticker"]), F.lit("</a>")),
+        F.concat(F.lit('<a href="/insider/1">Doe &amp; Co&#8217;s Ren&#xE9;e&eacute; &Scaron;&lstrok;&#x1F600; &eacute &amp;lt; '), F.col("l_partkey").cast("string"), F.lit("</a>")),
+        inner(F.when(e("l_discount > 0.05"), F.lit("CEO; Dir")).otherwise(F.lit("Dir"))),
         e("CASE l_returnflag WHEN 'A' THEN 'P - Purchase' WHEN 'R' THEN 'S - Sale' ELSE 'A - Grant' END"),
         F.concat(F.lit("$"), e(_money(s["cents"]))),
         F.concat(e(s["sign"]), F.split(e(_money(f"{s['qty_abs']} * 100")), r"\.").getItem(0)),
@@ -293,10 +308,14 @@ def screener_pages(lineitem: DataFrame) -> DataFrame:
         F.concat(e(s["sign"]), F.lit("$"), e(_money(f"{s['cents']} * CAST(l_quantity AS BIGINT)"))),
         F.lit("-2%"), F.lit(""), F.lit("+1%"), F.lit("&nbsp;"),
     ]
-    data = F.concat(F.lit('<table class="tinytable"><thead><tr><th>X</th></tr></thead>'), tag("<tbody><tr>"),
-                    *[td(c) for c in cells[:7]], _opt(~e(s["short"]), F.concat(*[td(c) for c in cells[7:]])),
-                    tag("</tr></tbody>"), F.lit("</table>"))
-    html = F.concat(F.lit('<html><body><form><table><tbody><tr><td>Filter</td></tr></tbody></table></form>'),
+    row = F.concat(tag("<tr>"), *[td(c) for c in cells[:7]], _opt(~e(s["short"]), F.concat(*[td(c) for c in cells[7:]])),
+                   _opt(bad["wide"], td(F.lit("one more"))), end("</tr>"))
+    data = F.concat(F.lit('<!-- <table><tbody><tr><td>old</td></tr></tbody></table> --><table class="tinytable" title="a > b">'
+                          "<thead><tr><th>X</th></tr></thead>"),
+                    tag("<tbody>"), _opt(~bad["bare"], row), tag("</tbody>"), F.lit("</table>"))
+    html = F.concat(F.lit('<html><body><script>if (a < b) write("<tbody>")</script>'
+                          '<form><table><tbody><tr><td>Filter</td></tr></tbody></table></form>'),
                     F.when(e(s["single"]), F.lit("")).otherwise(data), F.lit("</body></html>"))
+    html = F.when(~bad["absent"], html)
     return lineitem.select(e(s["page_ticker"]).alias("page_ticker"), F.col("l_orderkey").alias("page_id"),
                            html.alias("html"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +71,22 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
     return os.path.join(base, sub) if "://" not in base else f"{base.rstrip('/')}/{sub}"
 
 
+def written(df, name: str):
+    """The table written once under the shared folder and read again, for
+    results that several outputs are derived from. It survives lost executors
+    and gives the planner its true size. ``drop_written`` deletes it."""
+    path = f"{shared_dir(df.sparkSession, name)}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def drop_written(df) -> None:
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df, partitions: int | None):
     """Spread CPU-heavy per-row work (XML / HTML parsing) over ``partitions``
     tasks, where the caller asks for it; None leaves the scan's splits."""
