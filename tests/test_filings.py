@@ -284,3 +284,36 @@ def test_realistic_submission(spark):
     assert (s.qty, s.value, s.price, s.trade_date) == (-1500, 278625.0, 185.75, dt.date(2024, 1, 3))
     m = rows["M - OptEx"]
     assert (m.x_flag, m.qty, m.price, m.value) == ("D", -200, 0.0, 0.0)
+
+
+def test_any_depth_and_several_tables(spark):
+    loose = ("<nonDerivativeTransaction><transactionCode>S</transactionCode><x><transactionDate><note/><value>2024-01-04</value></transactionDate></x>"
+             "<transactionShares><value>7</value></transactionShares><y><y2><transactionPricePerShare><value>2</value></transactionPricePerShare></y2></y>"
+             "<transactionAcquiredDisposedCode><value>D</value></transactionAcquiredDisposedCode></nonDerivativeTransaction>")
+    body = doc([tx("2024-01-03", "P", "10", "5", "A")]).replace("<remarks>", f"<nonDerivativeTable>{loose}</nonDerivativeTable><wrap>{loose}</wrap><remarks>")
+    body = body.replace("<rptOwnerName>MCDONALD-SMITH ANN</rptOwnerName>", "<rptOwnerCik>1</rptOwnerCik>").replace(
+        "<remarks>", "<reportingOwner><rptOwnerName>DOE JANE</rptOwnerName></reportingOwner><remarks>")
+    out, rej = run(spark, [body])
+    rows = {r.trade_type: r for r in out.collect()}
+    assert rej.count() == 0 and rows["P - Purchase"].qty == 10
+    s = rows["S - Sale"]
+    assert (s.qty, s.price, s.value, s.x_flag, s.insider_name, s.title) == (-14, 2.0, 28.0, "M", "Doe Jane", "Chief Example Officer, Director")
+
+
+def test_markup_that_is_no_element(spark):
+    body = doc([tx("2024-01-03", "P", "10", "5", "A")], ticker="<![CDATA[A<B>&amp;]]>", remarks="R&amp;D &#38; T&#x26;A &lt;b&gt; &amp;lt; &#0;")
+    body = body.replace("<nonDerivativeTable>", "<!-- <transactionCode>X</transactionCode> --><nonDerivativeTable a = 'x > \"y\"' b=\"'\">")
+    r = run(spark, [body])[0].collect()
+    assert [(x.ticker, x.title) for x in r] == [("A<B>&amp;", "R&D & T&A <b> &lt; &#0;, Director")] or r == []  # &#0; is no XML
+
+
+def test_stray_ampersands_and_cut_documents(spark):
+    whole = doc([tx("2024-01-03", "P", "10", "5", "A"), tx("2024-01-04", "P", "20", "5", "A")], ticker="AT&T", remarks="R&D & &nbsp; &amp; &#65;")
+    at = whole.index("20</value>")
+    bodies = [whole, whole[:at], whole[:whole.index("<remarks>")], whole[:whole.index("10</value>")]]
+    out, rej = run(spark, bodies)
+    by = {r.accession: r for r in out.collect()}
+    assert (by["acc-0"].ticker, by["acc-0"].title, by["acc-0"].qty) == ("AT&T", "R&D & &nbsp; & A, Director", 30)
+    assert (by["acc-1"].title, by["acc-1"].qty) == ("See Remarks, Director", 10) and by["acc-2"].qty == 30 and "acc-3" not in by
+    assert {(r.accession, r.reject) for r in rej.collect()} == {("acc-1", "document cut off"), ("acc-2", "document cut off"),
+                                                                 ("acc-3", "malformed XML")}

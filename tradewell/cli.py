@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tradewell.functions.scalars import parse_param_date, symbol
 from tradewell.operators.combine import HEADER_COLS, combine_with_rejects
 from tradewell.operators.event_study import event_study, label_lines, open_market_trades
-from tradewell.operators.filings import parse_filings
+from tradewell.operators.filings import filing_items, split_items
 from tradewell.operators.resolve import limit_filings, resolve_ciks, select_documents, unresolved
 from tradewell.operators.screener import page_items, page_rejects, screener_trades
 from tradewell.session import drop_written, get_spark, spread, written
@@ -111,7 +111,8 @@ def run_filings(spark, args):
     ciks = resolve_ciks(watch, read_ticker_dictionary(spark, args.dictionary))
     index = limit_filings(form4_only(read_filing_index(spark, args.index)), args.l)
     docs = spread(select_documents(ciks, index, read_corpus(spark, args.corpus)), args.partitions)
-    tx, bad = parse_filings(docs)
+    items = written(filing_items(docs, ["cik", "accession"]), "filing-items")  # one parse for trades and rejects
+    tx, bad = split_items(items, ["cik", "accession"])
     # a filing that lies under issuer and owner is combined once for each CIK
     trades, lost = combine_with_rejects(tx, by_date=args.d, header_cols=HEADER_COLS,
                                         filing_key=["cik", "accession"], signed_value=args.signed_value)
@@ -120,8 +121,10 @@ def run_filings(spark, args):
                .unionByName(unresolved(watch, read_ticker_dictionary(spark, args.dictionary))
                             .withColumn("reject", F.lit("unresolved symbol")), allowMissingColumns=True))
     rejects.write.mode("append").parquet(args.rejects or f"{args.store.rstrip('/')}_rejects")
-    return save_trades(trades, args.store, mode=resolve_mode(args.append, args.rewrite),
-                       fmt=args.format, sep=args.sep)
+    report = save_trades(trades, args.store, mode=resolve_mode(args.append, args.rewrite),
+                         fmt=args.format, sep=args.sep)
+    drop_written(items)
+    return report
 
 
 def run_screener(spark, args):

@@ -139,25 +139,28 @@ def _named() -> Column:
     return F.from_json(F.lit(json.dumps(slots)), "array<map<string, string>>")
 
 
+def numbered(digits) -> Column:
+    """The character of a numeric reference: decimal digits, or x and
+    hexadecimal ones; NULL if there is none. 128 to 159 mean Windows-1252."""
+    number = F.when(F.lower(F.substring(digits, 1, 1)) == "x", F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits)
+    return let(number.try_cast("int"), lambda n: (
+        F.when(n.between(128, 159), F.lit(BYTES).substr(n - 127, F.lit(1)))
+        .when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))))
+
+
 def decode_entities(text) -> Column:
     """Named and numeric entities, with or without the closing ``;``, each
     decoded once. Numbers 128 to 159 mean Windows-1252, as browsers read them.
     Unknown names and numbers that name no character stay as they are."""
     slots = _named()
 
-    def number(name):
-        digits = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7))
-        return let(digits.try_cast("int"), lambda n: (
-            F.when(n.between(128, 159), F.lit(BYTES).substr(n - 127, F.lit(1)))
-            .when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))))
-
     def named(name):
         slot = F.element_at(slots, (F.crc32(name.cast("binary")) % SLOTS + 1).cast("int"))
         return F.try_element_at(slot, name)
 
     def one(p):
         name = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*)", 1)
-        both = let(name, lambda n: F.struct(n.alias("n"), F.when(n.startswith("#"), number(n)).when(n != "", named(n)).alias("c")))
+        both = let(name, lambda n: F.struct(n.alias("n"), F.when(n.startswith("#"), numbered(F.substring(n, 2, 7))).when(n != "", named(n)).alias("c")))
         end = lambda x: F.length(x["n"]) + F.when(p.substr(F.length(x["n"]) + 1, F.lit(1)) == ";", 2).otherwise(1)
         return let(both, lambda x: F.when(x["c"].isNull(), F.concat(F.lit("&"), p)).otherwise(
             F.concat(x["c"], p.substr(end(x), F.length(p)))))

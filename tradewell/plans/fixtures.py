@@ -168,6 +168,40 @@ def filing_documents(orders: DataFrame, lineitem: DataFrame, defects: bool = Fal
                     F.col("l_linenumber").alias("part"), body.alias("body"))
 
 
+# Documents as they occur in the wild (``odd_documents``): the same transaction
+# in two tables, in the second with its leaves at other depths; a first owner
+# without a name; a comment and a CDATA section that hold markup; stray ``&``;
+# line 3 ends within its second transaction.
+ODD_CUT_SQL = "l_linenumber = 3"
+
+
+def odd_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    e = {k: F.expr(v) for k, v in {**FILING_SQL, **LINE_SQL}.items()}
+    j = spread(lineitem, lineitem.sparkSession.sparkContext.defaultParallelism).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    val = lambda x: F.concat(F.lit('<value unit="x > y">'), x, F.lit("</value>"))
+    date = _el("transactionDate", val(F.to_date("l_shipdate").cast("string")))
+    code = _el("transactionCode", e["code"])
+    shares = _el("transactionShares", val(e["shares_text"]))
+    price = _el("transactionPricePerShare", F.when(e["footnote_price"], F.lit('<footnoteId id="F1"/>')).otherwise(
+        F.concat(F.lit('<footnoteId id="F1"/>'), val(F.col("l_extendedprice").cast("string")))))
+    a_d = _el("transactionAcquiredDisposedCode", val(e["a_d"]))
+    usual = F.concat(date, _el("transactionCoding", code), _el("transactionAmounts", F.concat(shares, price, a_d)))
+    other = F.concat(code, _el("amounts", F.concat(_el("more", a_d), _el("more", price))), F.lit("<note/>"), _el("when", date), shares)
+    table = lambda x: _el("nonDerivativeTable", _el("nonDerivativeTransaction", x))
+    officer = _opt(e["officer_title"].isNotNull(), _el("officerTitle", F.coalesce(e["officer_title"], F.lit(""))))
+    rel = _el("reportingOwnerRelationship", F.concat(_el("isDirector", e["is_director"]), _el("isOfficer", e["is_officer"]),
+                                                     _el("isTenPercentOwner", e["is_ten_pct"]), officer))
+    owners = F.concat(F.lit("<reportingOwner><reportingOwnerId/>"), rel, F.lit("</reportingOwner>"),
+                      _el("reportingOwner", _el("reportingOwnerId", _el("rptOwnerName", e["owner"]))))
+    doc = F.concat(
+        F.lit("<ownershipDocument><!-- <issuerTradingSymbol>OLD</issuerTradingSymbol> --><issuer><issuerName>A&B & Co &nbsp; <![CDATA[<remarks>&]]></issuerName>"),
+        _el("deep", _el("issuerTradingSymbol", e["ticker"])), F.lit("</issuer>"), owners, _opt(e["has_deriv"], F.lit('<derivativeTable kind="none"/>')),
+        _opt(e["remarks"].isNotNull(), _el("remarks", F.coalesce(e["remarks"], F.lit("")))), table(usual), table(other), F.lit("</ownershipDocument>\n</XML>"))
+    doc = F.when(F.expr(ODD_CUT_SQL), F.substring_index(doc, "<note/>", 1)).otherwise(doc)
+    body = F.concat(F.lit("<ACCEPTANCE-DATETIME>"), wall_text(e["filing_ts"], "%04d%02d%02d%02d%02d%02d"), F.lit("\n<XML>\n"), doc)
+    return j.select(e["cik"].alias("cik"), e["accession"].alias("accession"), F.col("l_linenumber").alias("part"), body.alias("body"))
+
+
 # customer + supplier -> ticker dictionary (JSON lines) and watch lists ---------
 # Customers are the listed companies: ticker upper(c_name), CIK c_custkey, at
 # dictionary position 2*c_custkey. Each supplier adds a later or earlier

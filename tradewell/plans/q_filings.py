@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tradewell.operators.combine import AMOUNT_REASON, combine_transactions, combine_with_rejects
 from tradewell.operators.dedup import dedup_keep_first
-from tradewell.operators.filings import REASONS, TX_REASONS, parse_filings
+from tradewell.operators.filings import CUT_REASON, REASONS, TX_REASONS, filing_items, parse_filings, split_items
 from tradewell.plans import fixtures as fx
 from tradewell.plans import oracle as o
 from tradewell.plans.registry import register
+from tradewell.session import written
 from tradewell.sources.sec import corpus_rows
 
 # DuckDB spellings of the few fixture expressions that differ from Spark's.
@@ -118,7 +119,8 @@ def _extreme(spark, sf_dir):
     name = F.when(odd, F.concat(F.lit("copy-"), F.col("accession"), F.lit("-of.txt"))).otherwise(
         F.concat(F.col("accession"), F.lit(".txt")))
     paths = docs.select(F.col("body").alias("value"), F.concat(F.lit("/data/"), F.col("cik"), F.lit("/"), name).alias("p"))
-    tx, bad = parse_filings(corpus_rows(paths))
+    # trades and rejects of both kinds come from one parse
+    tx, bad = split_items(written(filing_items(corpus_rows(paths)), "filing-items"), ["cik", "accession"])
     trades, lost = combine_with_rejects(tx, header_cols=HEADER, filing_key=["cik", "accession"])
     return trades.drop("cik"), bad.unionByName(lost, allowMissingColumns=True)
 
@@ -143,6 +145,30 @@ def filing_extreme_rejects(spark, sf_dir):
     return _extreme(spark, sf_dir)[1].groupBy("accession", "reject").agg(F.count("*").alias("n"))
 
 
+# Several tables, leaves at any depth, owners without a
+# name, stray ampersands, documents that are cut off.
+_ODD_TX = f"""SELECT * EXCLUDE (l_linenumber, copy)
+FROM ({_TX_SQL.replace('SELECT ', 'SELECT l_linenumber, ', 1)}), (SELECT unnest([1, 2]) AS copy)
+WHERE copy = 1 OR NOT ({fx.ODD_CUT_SQL})"""
+
+
+def _odd(spark, sf_dir):
+    docs = fx.odd_documents(fx.table(spark, sf_dir, "orders"), fx.table(spark, sf_dir, "lineitem"))
+    return parse_filings(docs)
+
+
+@register("filing_odd_documents", f"SELECT {', '.join(OUT)} FROM ({o.combine(_ODD_TX, False, HEADER)})")
+def filing_odd_documents(spark, sf_dir):
+    return combine_transactions(_odd(spark, sf_dir)[0], header_cols=HEADER).select(*OUT)
+
+
+@register("filing_odd_rejects", f"""
+SELECT {_d('accession')} AS accession, l_linenumber AS part, '{CUT_REASON}' AS reject
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {fx.ODD_CUT_SQL}""")
+def filing_odd_rejects(spark, sf_dir):
+    return _odd(spark, sf_dir)[1].select("accession", "part", "reject")
+
+
 # Prices of ten decimals keep them all
 _FINE = o.LINEITEM_TX.replace("l_extendedprice AS price", "l_extendedprice * 1e-8 AS price").replace(
     "CAST(l_quantity AS BIGINT)", "CAST(l_quantity AS BIGINT) * 1000003")
