@@ -115,3 +115,16 @@ def test_parse_param_date():
     assert S.parse_param_date("2024-02-03", d) == dt.datetime(2024, 2, 3)
     assert S.parse_param_date("03/02/2024", d) == d
     assert S.parse_param_date(None, d) == d
+
+
+def test_date_layouts_and_votes(spark):
+    import datetime as dt
+    cases = {"01/05/2024": dt.datetime(2024, 1, 5), "Jan 5, 2024": dt.datetime(2024, 1, 5), "sept. 5 2024 3:04 pm": dt.datetime(2024, 9, 5, 15, 4),
+             "20240105": dt.datetime(2024, 1, 5), "2024-1-5": dt.datetime(2024, 1, 5), "2024-01-05T10:00:00Z": dt.datetime(2024, 1, 5, 10),
+             "2024-01-05 10:00+05:30": dt.datetime(2024, 1, 5, 10), "5-Jan-2024": dt.datetime(2024, 1, 5), "12/31/2024 12:00 AM": dt.datetime(2024, 12, 31),
+             "1/2/2024 13:00 PM": None, "31/12/2024": None, "2024-02-30": None, "Janx 5, 2024": None, "2024010": None, "": None, "n/a": None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.x for r in df.select("t", S.coerce_ts("t").alias("x")).collect()} == cases
+    assert {r.t: r.x for r in df.select("t", S.coerce_ts("t", True).alias("x")).collect()}["31/12/2024"] == dt.datetime(2024, 12, 31)
+    votes = lambda *t: S.votes_day_first(spark.createDataFrame([(x,) for x in t], "t string"), "t")
+    assert votes("31/12/2024", "3/4/2024", None) and not votes("3/4/2024") and not votes("31/12/2024", "12/31/2024") and not votes("x")

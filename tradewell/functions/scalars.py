@@ -132,14 +132,9 @@ def acceptance_ts(text) -> Column:
 
 # R9 -------------------------------------------------------------------------
 def trade_date_text(text) -> Column:
-    """Date of a Form 4 date text: ISO, with an optional UTC offset (``-05:00``
-    or ``Z``) or time of day, or ``M/D/YYYY``. Anything else is NULL."""
-    t = strip_ws(text)
-    iso = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[ T][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?$"
-    us = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
-    part = lambda g, n: F.lpad(F.regexp_extract(t, us, g), n, "0")
-    return (F.when(t.rlike(iso), F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd"))
-            .when(t.rlike(us), F.try_to_date(F.concat_ws("-", part(3, 4), part(1, 2), part(2, 2)), "yyyy-MM-dd")))
+    """Date of a Form 4 date text in any layout of ``coerce_ts``; its time and
+    zone are dropped."""
+    return coerce_date(text)
 
 
 # R10 / F5 -------------------------------------------------------------------
@@ -165,15 +160,26 @@ def archive_path(cik, acc) -> Column:
 _INT_TEXT = r"^[+-]?[0-9]+$"
 
 
+# Decimal digits with an optional exponent: not the JVM's 12.5d or 0x1p3.
+_DECIMAL_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+
+
+def decimal_text(t) -> Column:
+    """A decimal number text as a double; NULL for anything else, also for what
+    no finite double holds."""
+    x = F.when(t.rlike(_DECIMAL_TEXT), t.try_cast("double"))
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
 def money_value(text) -> Column:
     """Value cell: drop ``+ $ ,``, keep the sign, number or NULL."""
-    return strip_ws(F.regexp_replace(_c(text), r"[+$,]", "")).try_cast("double")
+    return decimal_text(strip_ws(F.regexp_replace(_c(text), r"[+$,]", "")))
 
 
 def money_price(text) -> Column:
     """Price cell: drop ``$`` and thousands commas (the reference keeps commas
     and so loses prices >= 1,000; we strip them like the Value cell)."""
-    return strip_ws(F.regexp_replace(_c(text), r"[$,]", "")).try_cast("double")
+    return decimal_text(strip_ws(F.regexp_replace(_c(text), r"[$,]", "")))
 
 
 def clean_qty(text) -> Column:
@@ -196,7 +202,10 @@ def int_out_of_range(text) -> Column:
 
 
 def float_or_zero(text) -> Column:
-    return F.coalesce(strip_ws(text).try_cast("double"), F.lit(0.0))
+    """Filing price text: a decimal number or a spelling of NaN or infinity, else 0."""
+    t = strip_ws(text)
+    known = t.rlike(_DECIMAL_TEXT) | t.rlike(r"^[+-]?(?i:nan|inf|infinity)$")
+    return F.coalesce(F.when(known, t.try_cast("double")), F.lit(0.0))
 
 
 # R15 ------------------------------------------------------------------------
@@ -210,24 +219,66 @@ def delimiter_safe(title, sep: str) -> Column:
 
 
 # R16 ------------------------------------------------------------------------
-# Accepted layouts: yyyy-MM-dd, then optionally [ T]HH:mm, :ss and .fraction.
+# The layout of most texts: yyyy-MM-dd, then optionally [ T]HH:mm, :ss and .fraction.
 _TS_TEXT = r"^([0-9]{4})-([0-9]{2})-([0-9]{2})(?:[ T]([0-9]{2}):([0-9]{2})(?::([0-9]{2})(\.[0-9]+)?)?)?$"
+# Further layouts: ISO with short parts, yyyyMMdd, day and month in figures (/),
+# month by name before or after the day; each with a time, AM or PM, and a zone.
+_CLOCK = (r"(?:[ T]+([0-9]{1,2}):([0-9]{2})(?::([0-9]{2}(?:\.[0-9]+)?))?(?: ?([AaPp])\.?[Mm]\.?)?)?"
+          r"(?: ?(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2}))?$")
+_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+_MONTH_NAME = ("(?i:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?"
+               "|nov(?:ember)?|dec(?:ember)?)")
+_LAYOUTS = {  # pattern of the date, then the groups of year, month and day
+    "iso": (r"^([0-9]{4})[-/]([0-9]{1,2})[-/]([0-9]{1,2})", (1, 2, 3)),
+    "packed": (r"^([0-9]{4})([0-9]{2})([0-9]{2})", (1, 2, 3)),
+    "month first": (r"^([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})", (3, 1, 2)),
+    "day first": (r"^([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})", (3, 2, 1)),
+    "named month first": (rf"^({_MONTH_NAME})\.? +([0-9]{{1,2}}),? +([0-9]{{4}})", (3, 1, 2)),
+    "named month second": (rf"^([0-9]{{1,2}})[ -]({_MONTH_NAME})\.?,?[ -]([0-9]{{4}})", (3, 2, 1)),
+}
 
 
-def coerce_ts(text) -> Column:
-    """Text -> timestamp_ntz, bad -> NULL, with no session time zone. One
-    anchored match checks the layout; the fields then sit at fixed offsets
-    (length 10: date, 16: + HH:mm, 19: + :ss, more: + fraction)."""
+def _by_layout(t, name: str) -> Column:
+    pattern, groups = _LAYOUTS[name]
+    whole = pattern + _CLOCK
+    part = lambda g: F.regexp_extract(t, whole, g)
+    year, month, day = (part(g) for g in groups)
+    if name.startswith("named"):
+        month = (F.position(F.initcap(F.substring(month, 1, 3)), F.lit(_MONTHS)) + 2) / 3
+    hour = F.when(part(4) == "", "0").otherwise(part(4)).cast("int")
+    noon = F.lower(part(7))
+    hour = F.when(noon == "", hour).when(hour.between(1, 12), hour % 12 + F.when(noon == "p", 12).otherwise(0))
+    zero = lambda x: F.when(x == "", "0").otherwise(x)
+    return F.when(t.rlike(whole), _ntz(year, month, day, hour, zero(part(5)), zero(part(6))))
+
+
+def coerce_ts(text, day_first: bool = False) -> Column:
+    """Text -> timestamp_ntz, bad -> NULL, with no session time zone: the wall
+    clock as written, a zone is dropped. Usual ISO texts are checked by one
+    anchored match, their fields sit at fixed offsets (length 10: date, 16: +
+    HH:mm, 19: + :ss, more: + fraction); any other layout goes by its pattern.
+    ``day_first`` reads 3/4/2024 as 3 April (see ``votes_day_first``)."""
     t = strip_ws(text)
     n = F.length(t)
     part = lambda a, k, need: F.when(n >= need, F.substring(t, a, k)).otherwise(F.lit("0"))
-    return F.when(t.rlike(_TS_TEXT),
-                  _ntz(F.substring(t, 1, 4), F.substring(t, 6, 2), F.substring(t, 9, 2),
-                       part(12, 2, 16), part(15, 2, 16), part(18, 9, 19)))
+    usual = _ntz(F.substring(t, 1, 4), F.substring(t, 6, 2), F.substring(t, 9, 2),
+                 part(12, 2, 16), part(15, 2, 16), part(18, 9, 19))
+    names = ["iso", "packed", "day first" if day_first else "month first", "named month first", "named month second"]
+    return F.when(t.rlike(_TS_TEXT), usual).otherwise(F.coalesce(*[_by_layout(t, name) for name in names]))
+
+
+def coerce_date(text, day_first: bool = False) -> Column:
+    return F.to_date(coerce_ts(text, day_first))
 
 
-def coerce_date(text) -> Column:
-    return F.to_date(coerce_ts(text))
+def votes_day_first(df, text_col: str) -> bool:
+    """Whether a column's figures put the day first: some text can only be read
+    that way, and none only the other way. One aggregate of two counts."""
+    first = F.regexp_extract(strip_ws(F.col(text_col)), r"^([0-9]{1,2})[-/][0-9]{1,2}[-/][0-9]{4}", 1).try_cast("int")
+    second = F.regexp_extract(strip_ws(F.col(text_col)), r"^[0-9]{1,2}[-/]([0-9]{1,2})[-/][0-9]{4}", 1).try_cast("int")
+    got = df.agg(F.count_if(first.between(13, 31) & second.between(1, 12)).alias("day"),
+                 F.count_if(second.between(13, 31) & first.between(1, 12)).alias("month")).first()
+    return bool(got["day"] and not got["month"])
 
 
 # R17 ------------------------------------------------------------------------

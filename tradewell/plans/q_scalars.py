@@ -183,3 +183,50 @@ def date_coerce_q(spark, sf_dir):
     return df.select("*", S.coerce_ts("filed_text").alias("filing_ts"),
                      S.coerce_date("filed_text").alias("filing_day"),
                      S.trade_date_text("trade_text").alias("trade_date"))
+
+
+# One instant in many layouts; the layout follows the order key
+_LAYOUT_TEXTS = [
+    "date_format(o_orderdate, 'MM/dd/yyyy')", "date_format(o_orderdate, 'MMM d, yyyy')", "date_format(o_orderdate, 'yyyyMMdd')",
+    "date_format(o_orderdate, 'yyyy-M-d')", "concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T10:00:00Z')",
+    "date_format(o_orderdate, 'd MMMM yyyy')", "concat(date_format(o_orderdate, 'M/d/yyyy'), ' 10:00 PM')",
+    "concat(date_format(o_orderdate, 'yyyy-MM-dd'), ' 10:00:00.5-05:00')", "concat(date_format(o_orderdate, 'yyyy'), '-13-01')",
+    "concat('Foo ', date_format(o_orderdate, 'd, yyyy'))",
+]
+_LAYOUT_HOURS = {4: "INTERVAL 10 HOUR", 6: "INTERVAL 22 HOUR", 7: "INTERVAL 36000500 MILLISECONDS"}
+
+
+@register("date_layouts", f"""
+SELECT o_orderkey, CASE WHEN k < 8 THEN day + CASE k {' '.join(f'WHEN {k} THEN {v}' for k, v in _LAYOUT_HOURS.items())}
+       ELSE INTERVAL 0 HOUR END END AS filing_ts,
+       CASE WHEN k < 8 THEN CAST(day AS DATE) END AS trade_date, CAST(day AS DATE) AS european
+FROM (SELECT o_orderkey, date_trunc('day', o_orderdate) AS day, o_orderkey % 10 AS k FROM orders)""")
+def date_layouts_q(spark, sf_dir):
+    orders = fx.table(spark, sf_dir, "orders")
+    # date_format goes through the session zone: the day's noon is the same day in any
+    day = F.to_date("o_orderdate").cast("string")
+    texts = orders.select("o_orderkey", F.concat(day, F.lit(" 12:00:00")).cast("timestamp").alias("o_orderdate"))
+    pick = F.element_at(F.array(*[F.expr(t) for t in _LAYOUT_TEXTS]), (F.col("o_orderkey") % 10 + 1).cast("int"))
+    df = texts.select("o_orderkey", pick.alias("text"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("european"))
+    day_first = S.votes_day_first(df, "european")
+    return df.select("o_orderkey", S.coerce_ts("text").alias("filing_ts"), S.trade_date_text("text").alias("trade_date"),
+                     S.coerce_date("european", day_first).alias("european"))
+
+
+# Number texts; the JVM's own number syntax is no number
+_NUMBER_TEXTS = ["CAST(l_linenumber AS STRING) || '.5'", "CAST(l_linenumber AS STRING) || 'd'", "CAST(l_linenumber AS STRING) || '.5f'", "'0x1p3'",
+                 "'NaN'", "'-Infinity'", "' +$1,00' || CAST(l_linenumber AS STRING) || ' '", "CAST(l_linenumber AS STRING) || 'e2'", "'1e999'", "'.'"]
+
+
+@register("number_texts", """
+SELECT l_orderkey, l_linenumber, k,
+       CASE k WHEN 0 THEN l_linenumber + 0.5 WHEN 6 THEN 1000.0 + l_linenumber WHEN 7 THEN l_linenumber * 100.0 END::DOUBLE AS value,
+       CASE k WHEN 0 THEN l_linenumber + 0.5 WHEN 6 THEN 1000.0 + l_linenumber WHEN 7 THEN l_linenumber * 100.0 END::DOUBLE AS price,
+       CASE k WHEN 0 THEN l_linenumber + 0.5 WHEN 7 THEN l_linenumber * 100.0 WHEN 5 THEN -1e300 WHEN 4 THEN 1e300 WHEN 8 THEN 1e300 ELSE 0.0 END::DOUBLE AS filed
+FROM (SELECT l_orderkey, l_linenumber, (l_orderkey + l_linenumber) % 10 AS k FROM lineitem)""")
+def number_texts_q(spark, sf_dir):
+    df = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", ((F.col("l_orderkey") + F.col("l_linenumber")) % 10).alias("k"))
+    text = F.element_at(F.array(*[F.expr(t) for t in _NUMBER_TEXTS]), (F.col("k") + 1).cast("int"))
+    filed = S.float_or_zero(text)   # NaN and infinities stay; they are rejected later
+    shown = F.when(F.isnan(filed), 1e300).when(filed > 1e300, 1e300).when(filed < -1e300, -1e300).otherwise(filed)
+    return df.select("l_orderkey", "l_linenumber", "k", S.money_value(text).alias("value"), S.money_price(text).alias("price"), shown.alias("filed"))
