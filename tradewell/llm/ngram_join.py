@@ -8,17 +8,23 @@ such a shingle. First each tile's most typical set is compared with the
 others, which joins most of a group of copies in linear work. Then, only in
 tiles that still hold several components, rows are ordered by size (a set links
 only with sets of its size band or the next; large tiles are cut into such
-bands) and every pair of different components is bounded by hashed bitmap signatures: a set has at least as many
-shingles of its own as its bitmap has bits that the other lacks. Pairs that
-the bound leaves are decided by intersecting the sorted arrays. No pair is
-dropped otherwise, so no link is lost.
+bands) and pairs of different components are taken. A pair is left out where
+the places of the shingle in the two orders leave too few shingles for a link
+if none before it is shared, or where one of the two shared-tile shingles
+before it is in both sets (an earlier tile then has the pair); so the tile of
+the first common shingle always takes a pair that may link, and few others do.
+Tiles of more than a few rows bound a pair's overlap by hashed bitmap signatures at
+once, the others by wider ones afterwards: a set has at least as many shingles
+of its own as its bitmap has bits that the other lacks. Pairs that the bounds
+leave are decided by intersecting the sorted arrays. No pair is dropped
+otherwise, so no link is lost.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StructField, StructType)
 
@@ -35,6 +41,8 @@ BAND = 0.8
 ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 HELD_IDS = 1_000_000  # a set of ids up to this size (16 MB) is broadcast, a larger one joined by shuffle
 TILE = 4096         # rows of a tile block
+SMALL = 8           # rows of a tile whose pairs are bounded after they are gathered
+WIDE_BITS = 4       # bits of a wide bitmap for each shingle of the set
 
 
 def shingle_hashes(data, off, hasher, classes, lower):
@@ -165,42 +173,74 @@ def profiles(src: DataFrame, logs) -> DataFrame:
         StructField("typical", LongType()), StructField("bits", BinaryType()), StructField("first", ArrayType(LongType()))]))
 
 
-def shared_tiles(rows: DataFrame) -> DataFrame:
-    """Rows (tok, typical, n, node) sorted by token: those of tiles with more
-    than one node, with the tile's first (most typical) node and its size."""
+def shared_tokens(rows: DataFrame) -> DataFrame:
+    """Of the rows (tok, node, place) sorted by token, those whose token another
+    row has, too."""
+    names = ["tok", "node", "place"]
+
     def run(batches):
-        last = None  # the tile that is open: token, pivot, pivot size, whether its first row is out
-        names = ["tok", "node", "n", "pivot", "pn"]
+        held, shared = None, False  # the row that waits for its successor, and whether its predecessor has its token
         for b in batches:
             if not b.num_rows:
                 continue
-            tok, n, node = (b.column(i).to_numpy() for i in (0, 2, 3))
+            cols = [b.column(i).to_numpy() for i in range(3)]
+            if held is not None:
+                cols = [np.r_[x, c] for x, c in zip(held, cols)]
+            same = np.r_[shared, cols[0][1:] == cols[0][:-1], False]
+            keep = (same[:-1] | same[1:])[:-1]
+            yield as_batch([np.asarray(c[:-1][keep], np.int64) for c in cols], names)
+            held, shared = [c[-1:] for c in cols], bool(same[-2])
+        if held is not None and shared:
+            yield as_batch([np.asarray(c, np.int64) for c in held], names)
+
+    return rows.mapInArrow(run, LONGS(*names))
+
+
+def with_pivots(rows: DataFrame) -> DataFrame:
+    """Rows (tok, node, place, before, before2, n) sorted by token and from the
+    most typical set on: each with its tile's first node and that one's size."""
+    names = ["tok", "node", "place", "before", "before2", "n", "pivot", "pn"]
+
+    def run(batches):
+        last = None  # token, pivot and pivot size of the tile that is open
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [b.column(i).to_numpy() for i in range(6)]
+            tok, node, n = cols[0], cols[1], cols[5]
             new = np.r_[last is None or tok[0] != last[0], tok[1:] != tok[:-1]]
-            run_no = np.cumsum(new) - (1 if new[0] else 0)
             at = np.flatnonzero(new)
             pivot, pn = node[at], n[at]
             if not new[0]:
                 pivot, pn = np.r_[last[1], pivot], np.r_[last[2], pn]
-            size = np.bincount(run_no, minlength=len(pivot))
-            more = size > 1
-            if not new[0]:
-                more[0] = True
-            keep = more[run_no]
-            cols = [tok[keep], node[keep], n[keep], pivot[run_no][keep], pn[run_no][keep]]
-            if not new[0] and not last[3]:  # the open tile's first row turns out to have company
-                cols = [np.r_[x, c] for x, c in zip((last[0], last[1], last[2], last[1], last[2]), cols)]
-            yield as_batch([np.asarray(c, np.int64) for c in cols], names)
-            if len(pivot) == 1 and not new[0]:
-                last = (last[0], last[1], last[2], True)
-            else:
-                last = (tok[-1], pivot[-1], pn[-1], bool(more[-1]))
+            run_no = np.cumsum(new) - (1 if new[0] else 0)
+            yield as_batch([np.asarray(c, np.int64) for c in (*cols, pivot[run_no], pn[run_no])], names)
+            last = tok[-1], pivot[-1], pn[-1]
+
+    return rows.mapInArrow(run, LONGS(*names))
 
-    return rows.mapInArrow(run, LONGS("tok", "node", "n", "pivot", "pn"))
 
+def wide_bitmap(h: np.ndarray) -> bytes:
+    size = max(64, 1 << int(WIDE_BITS * max(1, len(h)) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[((h >> np.uint64(20)) & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
 
-def linked(pairs: DataFrame, nodes: DataFrame, src: DataFrame) -> DataFrame:
-    """Of the pairs (a, b), the links (u, v): bitmap bound, then exact."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
+
+def wide_may_link(na: int, nb: int, a: bytes, b: bytes) -> bool:
+    """Whether the wide bitmaps leave a similarity of 0.8 possible; the larger
+    one is folded to the smaller one's size."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+    most = min(na - int(np.bitwise_count(x & ~y).sum()), nb - int(np.bitwise_count(y & ~x).sum()))
+    return 180 * most >= 80 * (na + nb)
+
+
+def linked(pairs: DataFrame, nodes: DataFrame, src: DataFrame, bounded: bool = False) -> DataFrame:
+    """Of the pairs (a, b), the links (u, v): bitmap bound (unless ``bounded``
+    says that it has been applied), wide bitmap bound, then exact."""
+    node = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
 
     def bound(batches):
         for b in batches:
@@ -208,20 +248,30 @@ def linked(pairs: DataFrame, nodes: DataFrame, src: DataFrame) -> DataFrame:
             ok = may_link(na, nb, bits_array(b.column(3)), bits_array(b.column(5))) if len(na) else np.zeros(0, bool)
             yield as_batch([b.column(0).to_numpy()[ok], b.column(1).to_numpy()[ok]], ["a", "b"])
 
-    left = stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "bitsa", "nb", "bitsb")
-                  .mapInArrow(bound, LONGS("a", "b")), "bounded-pairs")
-    ids = stored(left.select(F.col("a").alias("id")).union(left.select(F.col("b").alias("id"))).distinct(), "pair-ids")
-    if ids.count() <= HELD_IDS:  # 16 bytes each
-        ids = F.broadcast(ids)
-
-    def sets(batches):
-        hasher, classes, lower = Hasher(), byte_classes(), lower_bytes()
+    left = pairs if bounded else stored(
+        pairs.join(node("a"), "a").join(node("b"), "b").select("a", "b", "na", "bitsa", "nb", "bitsb")
+        .mapInArrow(bound, LONGS("a", "b")), "bounded-pairs")
+    def of_texts(pairs, form, name):
+        """(id, n, name) of the texts of some pairs; name holds form(set)."""
+        ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "pair-ids")
+        if ids.count() <= HELD_IDS:  # 16 bytes each
+            ids = F.broadcast(ids)
+
+        def sets(batches):
+            hasher, classes, lower = Hasher(), byte_classes(), lower_bytes()
+            for b in batches:
+                found = [h for _, h in text_sets(b.column(1), hasher, classes, lower)]
+                yield as_batch([b.column(0), np.array([len(h) for h in found], np.int64),
+                                pa.array([form(h) for h in found], pa.binary())], ["id", "n", name])
+
+        return stored(src.join(ids, "id", "left_semi").select("id", "text").mapInArrow(sets, StructType(
+            [StructField("id", LongType()), StructField("n", LongType()), StructField(name, BinaryType())])), f"pair-{name}")
+
+    def wide(batches):
         for b in batches:
-            found = [h for _, h in text_sets(b.column(1), hasher, classes, lower)]
-            yield as_batch([b.column(0), pa.array([h.tobytes() for h in found], pa.binary())], ["id", "set"])
-
-    exact = stored(src.join(ids, "id", "left_semi").select("id", "text").mapInArrow(sets, StructType(
-        [StructField("id", LongType()), StructField("set", BinaryType())])), "pair-sets")
+            ok = np.array([wide_may_link(na, nb, x.as_py(), y.as_py()) for na, x, nb, y in zip(
+                b.column(2).to_pylist(), b.column(3), b.column(4).to_pylist(), b.column(5))], bool)
+            yield as_batch([b.column(0).to_numpy()[ok], b.column(1).to_numpy()[ok]], ["a", "b"])
 
     def intersect(batches):
         for b in batches:
@@ -233,27 +283,38 @@ def linked(pairs: DataFrame, nodes: DataFrame, src: DataFrame) -> DataFrame:
             ok = np.array(ok, bool)
             yield as_batch([b.column(0).to_numpy()[ok], b.column(1).to_numpy()[ok]], ["u", "v"])
 
-    one = lambda x: exact.select(F.col("id").alias(x), F.col("set").alias(f"set{x}"))
-    links = stored(left.join(one("a"), "a").join(one("b"), "b").select("a", "b", "seta", "setb")
+    side = lambda t, x, *cols: t.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}{x}") for c in cols])
+    wides = of_texts(left, wide_bitmap, "wide")
+    near = stored(left.join(side(wides, "a", "n", "wide"), "a").join(side(wides, "b", "n", "wide"), "b")
+                  .select("a", "b", "na", "widea", "nb", "wideb").mapInArrow(wide, LONGS("a", "b")), "near-pairs")
+    exact = of_texts(near, lambda h: h.tobytes(), "set")  # few pairs are left: their sets only now
+    links = stored(near.join(side(exact, "a", "set"), "a").join(side(exact, "b", "set"), "b").select("a", "b", "seta", "setb")
                    .mapInArrow(intersect, LONGS("u", "v")), "links")
-    for done in (left, exact):
+    for done in (left, wides, exact, near):
         drop_stored(done)
     return links
 
 
+KEYS = ["tok", "band", "i", "j", "n", "node", "comp", "block", "lower", "place", "before", "before2"]
+
+
 def banded_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of rows of one tile block with different components that sizes
-    and bitmaps leave. Rows (tok, band, i, j, n, node, comp, block, lower, bits)
-    come sorted; only rows that can still link are kept in memory."""
+    """All pairs of rows of one tile block with different components that the
+    bounds leave. Rows (KEYS and, where pairs are bounded by bitmaps at once,
+    bits) come sorted; only rows that can still link are kept in memory."""
+    with_bits = "bits" in rows.columns
+
     def run(batches):
         held = None
         for b in batches:
             if not b.num_rows:
                 continue
-            new = [b.column(k).to_numpy(zero_copy_only=False) for k in range(9)] + [bits_array(b.column(9))]
+            new = [b.column(k).to_numpy(zero_copy_only=False) for k in range(len(KEYS))]
+            if with_bits:
+                new.append(bits_array(b.column(len(KEYS))))
             fresh = 0 if held is None else len(held[0])
             cols = new if held is None else [np.concatenate([x, y]) for x, y in zip(held, new)]
-            tok, band, bi, bj, n, node, comp, block, lower, bits = cols
+            tok, band, bi, bj, n, node, comp, block, lower, place, b1, b2 = cols[:len(KEYS)]
             size = len(tok)
             differs = np.zeros(size, bool)
             differs[1:] = (tok[1:] != tok[:-1]) | (band[1:] != band[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])
@@ -268,11 +329,16 @@ def banded_pairs(rows: DataFrame) -> DataFrame:
                 to = live + d
                 ok = (to >= fresh) & (comp[live] != comp[to]) & lower[live] & ((bi[live] == bj[live]) | (block[live] != block[to]))
                 x, y = live[ok], to[ok]
-                if len(x):
-                    fit = may_link(n[x], n[y], bits[x], bits[y])
+                # if this is the first common shingle, no more than what follows it can be common
+                fit = 9 * np.minimum(n[x] - place[x], n[y] - place[y]) >= 4 * (n[x] + n[y])
+                # an earlier common shingle: an earlier tile has the pair
+                fit &= (b1[x] != b1[y]) & (b1[x] != b2[y]) & (b2[x] != b1[y]) & (b2[x] != b2[y])
+                x, y = x[fit], y[fit]
+                if with_bits and len(x):
+                    fit = may_link(n[x], n[y], cols[-1][x], cols[-1][y])
                     x, y = x[fit], y[fit]
-                    if len(x):
-                        yield as_batch([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], ["a", "b"])
+                if len(x):
+                    yield as_batch([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], ["a", "b"])
                 d += 1
             keep = (tile == tile[-1]) & (100 * n >= 80 * n[-1])
             held = [c[keep] for c in cols]
@@ -283,31 +349,34 @@ def banded_pairs(rows: DataFrame) -> DataFrame:
 def remaining_pairs(tiles: DataFrame, comp: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of nodes of different components that share a tile and may link.
 
-    A tile of up to TILE rows is one block. A larger one is cut into size bands
-    (a set meets its own band as either partner, the band below only as the
-    larger one), and a band that is still too large into pairs of row blocks."""
-    rows = (tiles.select("tok", "node", "n").join(comp, "node", "left")
-            .select("tok", "node", "n", F.coalesce("component", "node").alias("comp")))
-    rows = known = stored(rows, "tile-components")
-    mixed = (rows.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-             .where("lo != hi").select("tok", (F.col("m") > TILE).alias("large")))
-    mixed = stored(mixed, "mixed-tiles")
-    rows = rows.join(mixed, "tok")
+    A tile of up to SMALL rows has few pairs, which are bounded later; one of up
+    to TILE rows is one block. A larger one is cut into size bands (a set meets
+    its own band as either partner, the band below only as the larger one), and
+    a band that is still too large into pairs of row blocks."""
+    keep = ["tok", "node", "n", "place", "before", "before2"]
+    rows = known = stored(tiles.select(*keep).join(comp, "node", "left").select(*keep, F.coalesce("component", "node").alias("comp")),
+                          "tile-components")
+    kinds = stored(rows.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+                   .where(F.col("m") > SMALL).select("tok", (F.col("m") > TILE).alias("large"), F.expr("lo != hi").alias("mixed")), "tile-kinds")
+    zero = F.lit(0).cast("long")
+    few = rows.join(kinds.select("tok"), "tok", "left_anti").withColumns(
+        {"band": zero, "i": zero, "j": zero, "block": zero, "lower": F.lit(True)})
+    few = few.select(*KEYS).repartition("tok").sortWithinPartitions("tok", "n", "node")
+    rows = rows.join(kinds.where("mixed"), "tok")
     of = F.floor(F.log(F.col("n").cast("double")) / -float(np.log(BAND))).cast("long")
     place = lambda band, lower: F.struct(band.alias("band"), F.lit(lower).alias("lower"))
-    whole = F.array(place(F.lit(0).cast("long"), True))
-    rows = (rows.withColumn("at", F.explode(F.when(F.col("large"), F.array(place(of, True), place(of - 1, False))).otherwise(whole)))
-            .select("tok", "at.band", "at.lower", "node", "n", "comp"))
+    whole = F.array(place(zero, True))
+    rows = rows.withColumn("at", F.explode(F.when(F.col("large"), F.array(place(of, True), place(of - 1, False))).otherwise(whole)))
+    rows = rows.select(*keep, "comp", "at.band", "at.lower")
     size = stored(rows.groupBy("tok", "band").agg(F.count("*").alias("m"), F.max("lower").alias("any"))
                   .where("m > 1 AND any").select("tok", "band", F.ceil(F.col("m") / TILE).cast("long").alias("blocks")), "tile-sizes")
     rows = rows.join(size, ["tok", "band"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
-    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("k", F.explode(F.sequence(zero, F.col("blocks") - 1)))
     rows = rows.withColumn("i", F.least("block", "k")).withColumn("j", F.greatest("block", "k"))
-    rows = (rows.join(nodes.select("node", "bits"), "node")
-            .select("tok", "band", "i", "j", "n", "node", "comp", "block", "lower", "bits")
+    rows = (rows.join(nodes.select("node", "bits"), "node").select(*KEYS, "bits")
             .repartition("tok", "band", "i", "j").sortWithinPartitions("tok", "band", "i", "j", "n", F.desc("lower"), "node"))
-    pairs = stored(banded_pairs(rows).distinct(), "pairs")
-    for done in (tiles, known, mixed, size):
+    pairs = stored(banded_pairs(few).union(banded_pairs(rows)).distinct(), "pairs")
+    for done in (tiles, known, kinds, size):
         drop_stored(done)
     return pairs
 
@@ -334,13 +403,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = whole.select("id", "sig").join(reps, "sig")
     spare = stored(ids.where("id != node").select("id", "sig").distinct(), "copies")
     nodes = whole.join(spare, ["id", "sig"], "left_anti").withColumnRenamed("id", "node")
-    tokens = nodes.select(F.explode("first").alias("tok"), "typical", "n", "node").repartition("tok")
-    tiles = stored(shared_tiles(tokens.sortWithinPartitions("tok", F.desc("typical"), "n", "node")), "tiles")
+    # only (shingle, node, place) is dealt out, and most shingles have one node
+    tokens = nodes.select("node", F.posexplode("first").alias("place", "tok")).select("tok", "node", F.col("place").cast("long").alias("place"))
+    shared = stored(shared_tokens(tokens.repartition("tok").sortWithinPartitions("tok", "node")), "shared")
+    # the two shared shingles before each; a node's own name stands for none
+    w = Window.partitionBy("node").orderBy("place")
+    before = [F.coalesce(F.lag("tok", k).over(w), F.col("node")).alias(x) for k, x in ((1, "before"), (2, "before2"))]
+    rows = shared.select("tok", "node", "place", *before).join(nodes.select("node", "n", "typical"), "node")
+    rows = rows.repartition("tok").sortWithinPartitions("tok", F.desc("typical"), "n", "node")
+    tiles = stored(with_pivots(rows.select("tok", "node", "place", "before", "before2", "n")), "tiles")
+    drop_stored(shared)
     pairs = (tiles.where("node != pivot AND 100 * least(n, pn) >= 80 * greatest(n, pn)")
              .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
     links = linked(stored(pairs, "pairs"), nodes, src)
     comp = components(links)
-    more = linked(remaining_pairs(tiles, comp, nodes), nodes, src)
+    more = linked(remaining_pairs(tiles, comp, nodes), nodes, src, bounded=True)
     if not more.isEmpty():
         comp = components(more.union(comp.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     # a document is its set's node; rows that share an id follow the least node
