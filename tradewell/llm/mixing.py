@@ -20,6 +20,7 @@ from tradewell.llm.common import register, small_batches, stored, table, word_co
 from tradewell.llm.ordered import as_batch, order_rows
 
 REPEATS = 3          # a source gives its words at most so often
+HELD_LENGTHS = 500_000  # a plan up to this size (25 MB) is broadcast, a larger one joined by shuffle
 WINDOW = 1 << 16     # words that the knapsack program fills at the end
 
 
@@ -85,6 +86,15 @@ def fit_budget(lengths, counts, budget: int, seed: int):
     return take
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """The columns of docs and _source, _size, _key (one per source and length) and _draw."""
+    key = F.concat(F.when(F.col("_source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("_source"))),
+                   F.lit("\x00"), F.col("_size").cast("string"))
+    draw = F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    return (docs.withColumns({"_source": F.col(source_col).cast("string"), "_size": word_count(F.col(text_col))})
+            .withColumns({"_key": key, "_draw": draw}))
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights=(1, 2, 3), seed: int = 17) -> DataFrame:
     """One row per input row: id, size (words), source_size, target, taken
@@ -96,15 +106,45 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     interchangeable. An empty table gives an empty result; other columns are
     not read. The driver holds one number per source; one task holds the
     lengths of one source (as many as there are different lengths)."""
+    id_type = docs.select(id_col).schema[0].dataType
+    rows, plan = _planned(docs, id_col, text_col, source_col, weights, seed)
+    out = rows.join(plan, "key")
+    copies = F.col("passes") + (F.col("row") - F.col("first") < F.col("take")).cast("long")
+    return out.select(F.col("id").cast(id_type).alias(id_col), "size", "source_size", "target",
+                      (F.col("size") * copies).alias("taken"), copies.cast("int").alias("copies"))
+
+
+def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                     weights=(1, 2, 3), seed: int = 17) -> DataFrame:
+    """The mix itself: every row as often as ``mix_sources`` takes it (ids must
+    differ), rows with a null id once. What is taken of one length are the rows
+    up to a last (draw, id), so a row is decided by the row of the plan for its
+    source and length, and texts go through no shuffle while that plan, one row
+    per source and length, is small enough to be held (else Spark joins it)."""
+    spark = docs.sparkSession
+    rows, plan = _planned(docs, id_col, text_col, source_col, weights, seed)
+    last = rows.join(plan.where("take > 0").select("key", (F.col("first") + F.col("take") - 1).alias("row")), ["key", "row"])
+    last = last.select("key", F.col("draw").alias("_last_draw"), F.col("id").alias("_last_id"))
+    plan = stored(plan.select("key", "passes").join(last, "key", "left").withColumnRenamed("key", "_key"), "mix-thresholds")
+    if plan.count() <= HELD_LENGTHS:  # about 50 bytes each
+        plan = F.broadcast(plan)
+    taken = (F.col("_draw") < F.col("_last_draw")) | ((F.col("_draw") == F.col("_last_draw")) & (F.col(id_col) <= F.col("_last_id")))
+    copies = F.when(F.col(id_col).isNull(), F.lit(1)).otherwise(F.col("passes") + F.coalesce(taken, F.lit(False)).cast("long"))
+    often = _keyed(docs, id_col, text_col, source_col, seed).join(plan, "_key")
+    return often.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("_")).drop("_")
+
+
+def _planned(docs, id_col, text_col, source_col, weights, seed) -> tuple[DataFrame, DataFrame]:
+    """rows (id, source, size, key, draw, row, opens: numbered in one order of
+    key, draw and id) and the plan (key, take, first, source_size, target,
+    passes: how many rows of a source and length to take beyond the passes)."""
     spark = docs.sparkSession
     small_batches(spark, 5000)
-    id_type = docs.select(id_col).schema[0].dataType
     key = F.concat(F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source"))),
                    F.lit("\x00"), F.col("size").cast("string"))
-    lean = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-                       word_count(F.col(text_col)).alias("size"))
-    lean = stored(lean.withColumn("key", key).withColumn(
-        "draw", F.xxhash64(F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit("")))), "mix-rows")
+    lean = stored(_keyed(docs, id_col, text_col, source_col, seed).select(
+        F.col(id_col).alias("id"), F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_key").alias("key"),
+        F.col("_draw").alias("draw")), "mix-rows")
     o = order_rows(lean, "key", ["draw", "id"], "size")
     sizes = {r.source: int(r.s) for r in lean.groupBy("source").agg(F.sum("size").alias("s")).collect()}
     goal = targets(sizes, weights)
@@ -132,21 +172,19 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for b in batches:
             part, pos, opens = (b.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6))
             opens = opens & ((pos > 0) | opens_part[part])
-            yield as_batch([*b.columns[:4], row_off[part] + pos, opens], ["id", "source", "size", "key", "row", "opens"])
+            yield as_batch([*b.columns[:4], b.column(7), row_off[part] + pos, opens], [*names, "row", "opens"])
 
-    rows = o.rows.select("id", "source", "size", "key", "part", "pos", "opens").mapInArrow(
-        numbered, StructType([o.rows.schema["id"], o.rows.schema["source"], o.rows.schema["size"], o.rows.schema["key"],
-                              StructField("row", LongType()), o.rows.schema["opens"]]))
+    names = ["id", "source", "size", "key", "draw"]
+    rows = o.rows.select("id", "source", "size", "key", "part", "pos", "opens", "draw").mapInArrow(
+        numbered, StructType([*[o.rows.schema[c] for c in names], StructField("row", LongType()), o.rows.schema["opens"]]))
     rows = stored(rows, "mix-numbered")
-    first = rows.where("opens").select("key", F.col("row").alias("first"))
-    plan = stored(plan.join(first, "key"), "mix-plan")  # one row per source and length
+    first = rows.where("opens").select("key", "source", F.col("row").alias("first"))
     per_source = spark.createDataFrame(
         [(s, sizes[s], float(goal[s]), passes[s]) for s in sizes],
         "osource string, source_size long, target double, passes long")  # one row per source
-    out = rows.join(plan, "key").join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("osource")))
-    copies = F.col("passes") + (F.col("row") - F.col("first") < F.col("take")).cast("long")
-    return out.select(F.col("id").cast(id_type).alias(id_col), "size", "source_size", "target",
-                      (F.col("size") * copies).alias("taken"), copies.cast("int").alias("copies"))
+    plan = (plan.join(first, "key").join(per_source, F.col("source").eqNullSafe(F.col("osource")))
+            .select("key", "take", "first", "source_size", "target", "passes"))
+    return rows, stored(plan, "mix-plan")  # one row per source and length
 
 
 @register("op4_mixing")
