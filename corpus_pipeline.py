@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tradewell.llm.common import stored, table
 from tradewell.llm.decontamination import find_leaks
-from tradewell.llm.mixing import mix_sources
+from tradewell.llm.mixing import mix_sources, repeat_documents  # noqa: F401
 from tradewell.llm.ngram_join import near_duplicates
 from tradewell.llm.quality_classifier import score_quality
 from tradewell.llm.sharding import shard_contiguous
@@ -58,10 +58,7 @@ def decontaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix has it (0 to 3 times). Ids are unique
     here but for null ones, which stay once each."""
-    copies = stored(mix_sources(docs).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies")), "copies")
-    often = docs.join(copies, docs["doc_id"] == copies["_id"], "left")
-    # texts are not shuffled again to be repeated
-    return often.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.coalesce("_copies", F.lit(1)))).alias("_")).drop("_")
+    return repeat_documents(docs)
 
 
 def sharded(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
