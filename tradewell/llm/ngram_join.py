@@ -356,6 +356,7 @@ def remaining_pairs(tiles: DataFrame, comp: DataFrame, nodes: DataFrame) -> Data
     keep = ["tok", "node", "n", "place", "before", "before2"]
     rows = known = stored(tiles.select(*keep).join(comp, "node", "left").select(*keep, F.coalesce("component", "node").alias("comp")),
                           "tile-components")
+    drop_stored(tiles)
     kinds = stored(rows.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
                    .where(F.col("m") > SMALL).select("tok", (F.col("m") > TILE).alias("large"), F.expr("lo != hi").alias("mixed")), "tile-kinds")
     zero = F.lit(0).cast("long")
@@ -376,7 +377,7 @@ def remaining_pairs(tiles: DataFrame, comp: DataFrame, nodes: DataFrame) -> Data
     rows = (rows.join(nodes.select("node", "bits"), "node").select(*KEYS, "bits")
             .repartition("tok", "band", "i", "j").sortWithinPartitions("tok", "band", "i", "j", "n", F.desc("lower"), "node"))
     pairs = stored(banded_pairs(few).union(banded_pairs(rows)).distinct(), "pairs")
-    for done in (tiles, known, kinds, size):
+    for done in (known, kinds, size):
         drop_stored(done)
     return pairs
 
@@ -406,6 +407,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # only (shingle, node, place) is dealt out, and most shingles have one node
     tokens = nodes.select("node", F.posexplode("first").alias("place", "tok")).select("tok", "node", F.col("place").cast("long").alias("place"))
     shared = stored(shared_tokens(tokens.repartition("tok").sortWithinPartitions("tok", "node")), "shared")
+    # the rarest shingles of every text are done with: go on with the lean columns
+    lean = stored(prof.drop("first"), "lean-profiles")
+    drop_stored(prof)
+    prof = lean
+    nodes = (prof.where("n > 0 AND id IS NOT NULL").join(spare, ["id", "sig"], "left_anti").withColumnRenamed("id", "node"))
     # the two shared shingles before each; a node's own name stands for none
     w = Window.partitionBy("node").orderBy("place")
     before = [F.coalesce(F.lag("tok", k).over(w), F.col("node")).alias(x) for k, x in ((1, "before"), (2, "before2"))]
