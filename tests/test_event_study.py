@@ -134,3 +134,22 @@ def test_price_csv_reader(spark, tmp_dir):
     got = sorted(map(tuple, read_price_csv(spark, d).collect()))
     assert got == [("AAPL", dt.date(2024, 1, 2), 185.64), ("AAPL", dt.date(2024, 1, 3), 184.25),
                    ("MSFT", dt.date(2024, 1, 2), 370.87)]
+
+
+def test_day_label_text_equals_rendered_lines(spark):
+    """A hot day spans several range partitions and several blocks."""
+    from tradewell.operators import event_study as ev
+    n = 2 * ev.BLOCK + 7
+    df = (spark.range(n + 40).selectExpr(
+        "IF(id < %d, 'HOT', concat('T', id %% 3)) AS ticker" % n,
+        "timestampadd(SECOND, CAST(id * 37 % 5000 AS INT), TIMESTAMP_NTZ '2024-01-05 10:00:00.5') AS filing_ts",
+        "DATE'2024-01-03' AS trade_date", "concat('N', id % 5) AS insider_name", "'P - Purchase' AS trade_type", "CAST(id AS DOUBLE) AS price",
+        "id AS qty", "'CEO' AS title"))
+    got = {(r.ticker, r.filing_day): r.label for r in ev.day_label_text(df).collect()}
+    lines, heads = {}, {}
+    for r in ev.label_lines(df).collect():
+        lines.setdefault((r.ticker, r.filing_day), []).append((r.line_no, r.line))
+    for r in ev.day_rollup(df).collect():
+        heads[r.ticker, r.filing_day] = r.label_head
+    assert got == {k: ev.render_label(heads[k], heads[k].removeprefix("Date: "), [x for _, x in sorted(v)]) for k, v in lines.items()}
+    assert ev.day_label_text(df.limit(0)).count() == 0

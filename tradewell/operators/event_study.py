@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewell.functions import scalars as S
+from tradewell.session import written
 
 # The two open-market trade types, and the separator of label blocks.
 OPEN_MARKET = ["P - Purchase", "S - Sale"]
@@ -59,20 +60,58 @@ def label_order():
             F.col("price").asc(), F.col("qty").asc(), F.col("title").asc()]
 
 
-def label_lines(trades: DataFrame) -> DataFrame:
-    """One text block per trade, keyed by (ticker, filing_day), with its
-    place ``line_no`` among the day's lines (O1)."""
+def _line_text():
     def txt(c, null_text):
         return F.coalesce(F.col(c).cast("string"), F.lit(null_text))
-    line = F.concat(F.lit("TD: "), txt("trade_date", "NaT"), F.lit("\nTT: "), txt("trade_type", "None"),
+    return F.concat(F.lit("TD: "), txt("trade_date", "NaT"), F.lit("\nTT: "), txt("trade_type", "None"),
                     F.lit("\nIN: "), txt("insider_name", "None"), F.lit("\nT: "), txt("title", "None"),
                     F.lit("\nP: "), F.coalesce(S.plain_number("price"), F.lit("nan")), F.lit(" Qty: "), txt("qty", "<NA>"))
+
+
+def label_lines(trades: DataFrame) -> DataFrame:
+    """One text block per trade, keyed by (ticker, filing_day), with its
+    place ``line_no`` among the day's lines (O1)."""
+    line = _line_text()
     day = F.to_date("filing_ts")
     place = F.row_number().over(Window.partitionBy("ticker", day).orderBy(*label_order()))
     return trades.select("ticker", day.alias("filing_day"), place.alias("line_no"), "filing_ts", "trade_date",
                          "trade_type", "insider_name", "title", "price", "qty", line.alias("line"))
 
 
+BLOCK = 1024  # trades of one block of a label
+
+
+def day_label_text(trades: DataFrame) -> DataFrame:
+    """A4 + R19: the text of each (ticker, day), as ``render_label`` gives it.
+
+    Two levels: the trades of a day are numbered without one task per day (range
+    partitions of the O1 order, numbered within, and offsets by the counts of
+    the partitions before), blocks of BLOCK lines are joined first, then a
+    day's blocks. The text itself is one value, so a day must fit in a row."""
+    spark = trades.sparkSession
+    day = F.to_date("filing_ts")
+    texts = trades.select("ticker", day.alias("filing_day"), "filing_ts", "trade_date", "insider_name", "trade_type", "price", "qty", "title",
+                          _line_text().alias("line"))
+    order = [F.col("ticker").asc(), F.col("filing_day").asc(), *label_order()]
+    spread_out = texts.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(spread_out.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "label-lines")
+    # a part's rows of a day follow each other, so a difference of ids numbers them
+    runs = rows.groupBy("ticker", "filing_day", "part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"), F.min("filing_ts").alias("ts"))
+    w = Window.partitionBy("ticker", "filing_day").orderBy("part")
+    runs = runs.select("ticker", "filing_day", "part", "first",
+                       (F.sum("n").over(w) - F.col("n")).alias("before"), F.first("ts").over(w).alias("anchor_ts"))
+    numbered = rows.join(runs.withColumnsRenamed({"ticker": "_t", "filing_day": "_d", "part": "_p"}),
+                         F.col("ticker").eqNullSafe(F.col("_t")) & F.col("filing_day").eqNullSafe(F.col("_d")) & (F.col("part") == F.col("_p")))
+    line_no = F.col("at") - F.col("first") + F.col("before")
+    head = F.concat(F.lit("Date: "), S.py_ts_text("anchor_ts"))
+    block = F.concat(F.lit(SEP), F.when(line_no > 0, F.concat(head, F.lit(SEP))).otherwise(F.lit("")), F.col("line"))
+    lines = numbered.select("ticker", "filing_day", "anchor_ts", F.floor(line_no / BLOCK).alias("block"), line_no.alias("line_no"), block.alias("text"))
+    joined = lambda key: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, "text"))), lambda x: x["text"]), "")
+    blocks = lines.groupBy("ticker", "filing_day", "anchor_ts", "block").agg(joined("line_no").alias("text"))
+    days = blocks.groupBy("ticker", "filing_day", "anchor_ts").agg(joined("block").alias("text"))
+    return days.select("ticker", "filing_day", F.concat(F.lit("Date: "), S.py_ts_text("anchor_ts"), F.col("text")).alias("label"))
+
+
 def day_rollup(trades: DataFrame) -> DataFrame:
     """A4 + A5 (W4: consecutive date-sorted rows = grouping by day)."""
     g = (trades.groupBy("ticker", F.to_date("filing_ts").alias("filing_day"))

@@ -58,12 +58,12 @@ def open_market_trades_q(spark, sf_dir):
     return _om(spark, sf_dir, START, END)
 
 
-# chosen tickers, here those of the even users up to 40, as a table
-_CHOSEN_SQL = "SELECT DISTINCT printf('U%03d', user_id) AS ticker FROM events WHERE user_id % 2 = 0 AND user_id <= 40"
+# chosen tickers, as a table: every ticker with a gift ('error' events)
+_CHOSEN_SQL = "SELECT DISTINCT printf('U%03d', user_id) AS ticker FROM events WHERE event_type = 'error'"
 
 
 def _chosen(spark, sf_dir):
-    events = fx.table(spark, sf_dir, "events").where("user_id % 2 = 0 AND user_id <= 40")
+    events = fx.table(spark, sf_dir, "events").where("event_type = 'error'")
     return events.select(F.expr(fx.EVENT_TRADE_SQL["ticker"]).alias("ticker")).distinct()
 
 
@@ -113,3 +113,22 @@ FROM ({_nearest_sql(_OM_SQL, _BARS_IN_SQL)})""")
 def event_study_q(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events")
     return ev.event_study(fx.event_trades(events), fx.event_prices(events), START, END)
+
+
+# The text of a day's label
+@register("day_label_text", f"""
+SELECT ticker, filing_day, 'Date: ' || head || string_agg(chr(10) || '----------------------' || chr(10) ||
+         CASE WHEN line_no > 1 THEN 'Date: ' || head || chr(10) || '----------------------' || chr(10) ELSE '' END || line, '' ORDER BY line_no) AS label
+FROM (SELECT ticker, CAST(filing_ts AS DATE) AS filing_day,
+             min(strftime(filing_ts, '%Y-%m-%d %H:%M:%S') || CASE WHEN microsecond(filing_ts) % 1000000 <> 0
+                 THEN '.' || lpad(CAST(microsecond(filing_ts) % 1000000 AS VARCHAR), 6, '0') ELSE '' END)
+               OVER (PARTITION BY ticker, CAST(filing_ts AS DATE)) AS head,
+             row_number() OVER (PARTITION BY ticker, CAST(filing_ts AS DATE)
+               ORDER BY filing_ts, trade_date DESC NULLS LAST, insider_name, trade_type, price, qty, title) AS line_no,
+             'TD: ' || coalesce(CAST(trade_date AS STRING), 'NaT') || chr(10) || 'TT: ' || trade_type || chr(10) ||
+             'IN: ' || insider_name || chr(10) || 'T: ' || title || chr(10) || 'P: ' || CAST(price AS STRING) ||
+             ' Qty: ' || CAST(qty AS STRING) AS line
+      FROM ({_ALL_SQL}))
+GROUP BY ticker, filing_day, head""")
+def day_label_text_q(spark, sf_dir):
+    return ev.day_label_text(_om(spark, sf_dir))
