@@ -40,14 +40,18 @@ HEAP = StructType([StructField("query", LongType()), StructField("score", Double
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """Fast Walsh-Hadamard transform of the last axis (a power of two), orthonormal."""
-    n, lead = x.shape[-1], x.shape[:-1]
-    step = 1
+    """Fast Walsh-Hadamard transform along the first axis (a power of two),
+    orthonormal; each step adds whole rows."""
+    x = np.array(x, order="C")  # a copy, changed in place
+    n, step = len(x), 1
     while step < n:
-        pairs = x.reshape(*lead, n // (2 * step), 2, step)
-        x = np.stack([pairs[..., 0, :] + pairs[..., 1, :], pairs[..., 0, :] - pairs[..., 1, :]], axis=-2).reshape(*lead, n)
+        pairs = x.reshape(n // (2 * step), 2, step, -1)
+        first = pairs[:, 0].copy()
+        pairs[:, 0] += pairs[:, 1]
+        np.subtract(first, pairs[:, 1], out=pairs[:, 1])
         step *= 2
-    return x / np.sqrt(n)
+    x *= x.dtype.type(1 / np.sqrt(n))
+    return x
 
 
 class Polytopes:
@@ -56,23 +60,25 @@ class Polytopes:
     def __init__(self, dims: int, tables: int):
         self.width = 1 << max(1, (max(dims, 1) - 1).bit_length())  # padded with zeros to a power of two
         self.tables = tables
-        self.signs = np.random.default_rng(SEED).choice(np.array([-1.0, 1.0]), (3, 2 * tables, self.width))
+        self.signs = np.random.default_rng(SEED).choice(np.array([-1.0, 1.0], np.float32), (3, 2 * tables, self.width))
 
     def turn(self, x: np.ndarray) -> np.ndarray:
-        """(rows, 2 * tables, width) coordinates of unit rows."""
-        x = np.pad(x, ((0, 0), (0, self.width - x.shape[1])))[:, None, :]
+        """(width, 2 * tables, rows) coordinates of unit rows."""
+        x = np.pad(x.astype(np.float32), ((0, 0), (0, self.width - x.shape[1]))).T[:, None, :]
         for signs in self.signs:
-            x = hadamard(x * signs)
+            x = hadamard(x * signs.T[:, :, None])
         return x
 
     def axes(self, x: np.ndarray) -> np.ndarray:
         """(rows, 2 * tables) nearest signed axis: below width positive, above negative."""
         out = np.empty((len(x), 2 * self.tables), np.int64)
-        step = max(1, (1 << 21) // (2 * self.tables * self.width))
+        step = max(1, (1 << 18) // (2 * self.tables * self.width))
         for lo in range(0, len(x), step):
             y = self.turn(x[lo:lo + step])
-            at = np.abs(y).argmax(-1)
-            out[lo:lo + step] = at + self.width * (np.take_along_axis(y, at[..., None], -1)[..., 0] < 0)
+            high, low = y.max(axis=0), y.min(axis=0)
+            up = high >= -low  # the larger of the two signs; the first axis that has it
+            at = (y == np.where(up, high, low)).argmax(axis=0)
+            out[lo:lo + step] = (at + self.width * ~up).T
         return out
 
     def codes(self, x: np.ndarray) -> np.ndarray:
@@ -82,7 +88,7 @@ class Polytopes:
 
     def costs(self, x: np.ndarray) -> np.ndarray:
         """(rows, 2 * tables, 2 * width) cost of every signed axis."""
-        y = self.turn(x)
+        y = np.ascontiguousarray(self.turn(x).transpose(2, 1, 0))
         y = np.concatenate([y, -y], axis=-1)
         return y.max(-1, keepdims=True) - y
 
