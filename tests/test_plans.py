@@ -55,3 +55,17 @@ def test_filters_reach_the_scan(spark):
 def test_no_python_in_plans(spark, name):
     p = plan(spark, name)
     assert not any(n in p for n in PY_NODES)
+
+
+@pytest.mark.parametrize("name", ["filing_trades_with_defects", "filing_odd_documents", "screener_rows"])
+def test_generated_parse_code_can_be_compiled(spark, name):
+    """A generated method over 64 KB fails, one over 8,000 bytes is only ever
+    interpreted (the rare date layouts took 57 KB of one); the documents
+    themselves are made in longer ones."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = entry.queries()[name](spark, SF)._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert len(sizes) > 2 and sorted(sizes)[-2] < 8000 and max(sizes) < 20000
