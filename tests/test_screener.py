@@ -131,3 +131,15 @@ def test_landed_pages(spark, tmp_path):
     compact_pages(spark, str(tmp_path / "*.html"), str(tmp_path / "pages.parquet"))
     assert read_pages(spark, str(tmp_path / "pages.parquet")).count() == 2
     assert read_pages(spark, str(tmp_path / "*.html")).count() == 2
+
+
+def test_rows_per_ticker_reads_a_page_once(spark):
+    """A filter on the count would go below the aggregate and bring the whole
+    structural index of the page with it, once more."""
+    pages = spark.createDataFrame([("T1", "<table><tbody></tbody><tbody><TR><td>1<tr><Td>2</tbody></table>"), ("T1", None),
+                                   ("T2", "<tbody></tbody>"), (None, "<table><tbody></tbody><tbody><tr></tr></tbody></table>")],
+                                  "page_ticker string, html string")
+    out = sc.rows_per_ticker(pages)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("script|style") == 1
+    assert {(r.page_ticker, r.n_rows) for r in out.collect()} == {("T1", 2), (None, 1)}
