@@ -353,3 +353,25 @@ def test_elements_by_one_pass(spark):
     assert [tuple(r) for r in got[:5]] == [("1", "", ["1", "2<c>x</c>"]), ("cut", None, ["cut"]), (None, None, []), (None, None, []),
                                            (None, None, None)]
     assert len(got[5][0]) == 400_000 and len(got[5][2]) == 1
+
+
+def test_comments_and_sections_skip_the_parser(spark):
+    from tradewell.functions import xml as X
+    well = ["<r><!-- <a> - b --><a>x</a></r>", "<r><![CDATA[<b>&]]></r>", "<r><a/><![CDATA[]]]]></r>"]
+    other = ["<r><!-- a -- b --></r>", "<r><!-- a ---></r>", "<r>]]></r>", "<r><![CDATA[x]]</r>", "<r><!-- é --></r>"]
+    rows = spark.createDataFrame([(x,) for x in well + other], "x string").select(X.plain_elements(F.col("x"), "r").alias("p")).collect()
+    assert [r.p for r in rows] == [True] * len(well) + [False] * len(other)
+
+
+def test_transaction_values_in_every_form(spark):
+    from tradewell.operators.filings import transaction_values
+    date, code = "<transactionDate><value>2024-01-02</value></transactionDate>", "<transactionCode>P</transactionCode>"
+    rest = "<transactionShares><value>5</value></transactionShares>"
+    texts = [f"{date}<c>{code}</c>{rest}", f"{rest}{code}<d>{date}</d>", f"{date}{code}{rest}{date.replace('2024', '2023')}",
+             date.replace("<value>", "<n></n><value> ") + code + rest, f"{code}<transactionDate></transactionDate>{rest}",
+             f"{date}<transactionCode></transactionCode>{rest}", f"\x01{date}{code}{rest}", "\x01\x01\x01\x01\x01\x01", ""]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    got = [tuple(r.v) for r in df.select(transaction_values(F.col("x")).alias("v")).collect()]
+    one = ("2024-01-02", "P", "5", None, None)
+    assert got == [one, one, one, one, (None, "P", "5", None, None), ("2024-01-02", "", "5", None, None), one,
+                   (None,) * 5, (None,) * 5]

@@ -69,3 +69,14 @@ def test_generated_parse_code_can_be_compiled(spark, name):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
     assert len(sizes) > 2 and sorted(sizes)[-2] < 8000 and max(sizes) < 20000
+
+
+@pytest.mark.parametrize("name", ["filing_xml_to_trades", "filing_odd_documents"])
+def test_documents_are_made_by_compiled_code(spark, name):
+    """The projection that writes the texts stays out of the stage's one method."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = entry.queries()[name](spark, SF)._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
