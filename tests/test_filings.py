@@ -375,3 +375,19 @@ def test_transaction_values_in_every_form(spark):
     one = ("2024-01-02", "P", "5", None, None)
     assert got == [one, one, one, one, (None, "P", "5", None, None), ("2024-01-02", "", "5", None, None), one,
                    (None,) * 5, (None,) * 5]
+
+
+def test_relationship_in_its_usual_order_is_one_pass(spark):
+    from tradewell.functions import xml as X
+    from tradewell.operators.filings import _USUAL_RELATION, relation_values
+    values = {"isDirector": "1", "isOfficer": " true", "isTenPercentOwner": "0", "officerTitle": "VP, Sales "}
+    usual = "".join(f"<{k}>{v}</{k}>" for k, v in values.items())
+    docs = [usual, usual.replace("<isOfficer> true</isOfficer>", ""), usual + "<isOther>0</isOther><otherText/>",
+            "".join(f"<{k}>{v}</{k}>" for k, v in reversed(values.items())), usual + "<isDirector>0</isDirector>",
+            usual.replace("VP, Sales ", "<b>VP</b> &amp; Sales"), usual.replace("VP, Sales ", ""), "", None]
+    df = spark.createDataFrame([(d,) for d in docs], "x string")
+    rows = df.select(relation_values("x").alias("v"), F.col("x").rlike(rf"(?s)\A{_USUAL_RELATION}").alias("usual"),
+                     F.struct(*[X.text(X.first("x", k)).alias(k) for k in ("isOfficer", "officerTitle", "isDirector", "isTenPercentOwner")]
+                              ).alias("want")).collect()
+    assert [r.v for r in rows] == [r.want for r in rows]
+    assert [r.usual for r in rows] == [True, True, True, False, False, False, False, True, None]

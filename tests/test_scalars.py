@@ -128,3 +128,17 @@ def test_date_layouts_and_votes(spark):
     assert {r.t: r.x for r in df.select("t", S.coerce_ts("t", True).alias("x")).collect()}["31/12/2024"] == dt.datetime(2024, 12, 31)
     votes = lambda *t: S.votes_day_first(spark.createDataFrame([(x,) for x in t], "t string"), "t")
     assert votes("31/12/2024", "3/4/2024", None) and not votes("3/4/2024") and not votes("31/12/2024", "12/31/2024") and not votes("x")
+
+
+def test_usual_names_by_one_pass(spark):
+    import random
+    rnd = random.Random(5)
+    signs = "abMCmcZ'.,&-_9@[`{~! \t é"
+    names = ["".join(rnd.choice(signs) for _ in range(rnd.randrange(0, 12))) for _ in range(3000)]
+    names += ["van der  berg NOT SPECIFIED", "O'BRIEN jr.", "McDONALD x", "smith-jones a", " a", "a ", "x.y/z (ab) 3RD", None]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    rows = df.select("n", S.normalize_name("n").alias("new"), S._normalize_any(F.col("n")).alias("any"),
+                     F.col("n").rlike(S._USUAL_NAME).alias("usual")).collect()
+    assert [(r.n, r.new) for r in rows] == [(r.n, r["any"]) for r in rows]
+    assert sum(bool(r.usual) for r in rows) > 300
+    assert rows[3000].usual and rows[3001].usual and not rows[3002].usual and not rows[3003].usual
