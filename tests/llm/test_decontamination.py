@@ -85,3 +85,39 @@ def test_paraphrases_and_odd_rows(spark):
     got = [(r.doc_id, r.item_id) for r in find_leaks(df, it).collect()]
     assert set(got) == want | {(None, 0), (302, 3), (303, 4)} and got.count((303, 4)) == 2
     assert find_leaks(df.limit(0), it).count() == 0 and find_leaks(df, it.limit(0)).count() == 0
+
+
+def test_rare_words_leave_out_no_hit():
+    from tradewell.llm.decontamination import FEATURES, RareWords, decide
+    rnd = random.Random(9)
+    words = Words()
+    vocab = [f"word{i}" for i in range(400)] + ["the", "of", "and", "a"] * 100
+    text = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    hashes = lambda t: next(words.chunks(pa.array([t])))[2:]
+    block = []
+    for i, t in enumerate([text(rnd.randrange(8, 60)) for _ in range(40)] + ["the of and a the of and a the"]):
+        h = hashes(t)[0]
+        block.append((i, t, h, h[-(len(h) // 3):]))
+    docs = ["", "the"]
+    for d in range(300):
+        body, item = text(rnd.randrange(1, 400)).split(), rnd.choice(block)[1].split()
+        if d % 2:
+            item = [w if rnd.random() < 0.75 else "other" for w in item]
+            at = rnd.randrange(len(body) + 1)
+            body = body[:at] + item + body[at:]
+        docs.append(" ".join(body))
+    (lo, hi, h, counts), = [c for c in words.chunks(pa.array(docs))][:1]
+    assert (lo, hi) == (0, 256)
+    df = np.bincount((h >> np.uint64(50)).astype(np.int64), minlength=FEATURES)
+    may = RareWords([(i, x, a) for i, _, x, a in block], np.log((1 + len(h)) / (1 + df)).astype(np.float32)).pairs(h, counts)
+    base, hits = np.cumsum(counts) - counts, 0
+    for t in range(hi):
+        for n, (_, _, x, a) in enumerate(block):
+            slack = max(12, len(x) // 4)
+            for place in range(-slack, int(counts[t]), 3):
+                part = h[base[t] + max(0, place - slack):base[t] + max(0, min(int(counts[t]), place + len(x) + slack))]
+                if decide(x.tolist(), a.tolist(), part.tolist())[0]:
+                    hits += 1
+                    assert may[t, n]
+                    break
+    assert hits > 100 and may.sum() < 0.4 * may.size

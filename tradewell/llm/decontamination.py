@@ -5,8 +5,8 @@ SVD over all passages of the corpus gives their leading right singular vectors:
 each task multiplies its passages with a seeded random matrix and back, the
 products are added up by blocks of rows, and the small remaining problem is
 solved on the driver, in one pass over the corpus. Overlapping windows of every
-document and of every benchmark item are compared by cosine in that space; a
-candidate is decided by the longest common subsequence of the item and the
+benchmark item and of every document that can hold it (by the item's rare words)
+are compared by cosine in that space; a candidate is decided by the longest common subsequence of the item and the
 aligned stretch of the document. Stretches that keep most of an item in order
 are copies; those that keep less are paraphrases if they also have its answer,
 the words of its last sentence.
@@ -33,6 +33,10 @@ PARAPHRASE = 0.6    # share that makes a paraphrase, if the answer is there too
 ANSWER = 0.75       # share of the answer's words, in order
 LEAST_WORDS = 8     # shorter items are no evidence of a leak and match nothing
 ITEMS, ITEM_WORDS = 2048, 200_000  # a block of items: one search pass each
+RARE = 4            # words that a hit has of the rarest ones of an item
+MARKS = 20          # bits of the table of rare words
+SLICE = 8192        # entries of sparse rows multiplied at once: they stay in the processor's cache
+MOST = 1 << 21      # places of rare words compared at once
 
 
 class Words:
@@ -84,8 +88,17 @@ def project(row, f, val, n, matrix) -> np.ndarray:
     """Rows times matrix. Every row has an entry."""
     if not n:
         return np.zeros((0, matrix.shape[1]), np.float32)
-    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-    return np.add.reduceat(matrix[f] * val[:, None], first, axis=0)
+    return np.concatenate([s for _, s in group_sums(row, f, val, matrix)])
+
+
+def group_sums(group, pick, val, matrix):
+    """(groups, sums of their entries matrix[pick] * val) by slices of whole
+    groups; entries of a group lie together."""
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    cuts = np.unique(np.r_[first[np.searchsorted(first, np.arange(0, len(group), SLICE))[:-1]] if len(group) > SLICE else 0, len(group)])
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        at = first[np.searchsorted(first, a):np.searchsorted(first, b)]
+        yield group[at], np.add.reduceat(matrix[pick[a:b]] * val[a:b, None], at - a, axis=0)
 
 
 def summed_blocks(texts: DataFrame, width: int, fold) -> np.ndarray:
@@ -144,9 +157,8 @@ def latent_space(texts: DataFrame, idf: np.ndarray, seed: int = 23) -> np.ndarra
                     continue
                 z = project(row, f, val, len(text), start)
                 order = np.argsort(f, kind="stable")
-                fs = f[order]
-                first = np.flatnonzero(np.r_[True, fs[1:] != fs[:-1]])
-                t[fs[first]] += np.add.reduceat(z[row[order]] * val[order, None], first, axis=0)
+                for some, sums in group_sums(f[order], row[order], val[order], z):
+                    t[some] += sums
         return t
 
     y = summed_blocks(texts, width, fold)  # A'A times omega
@@ -218,6 +230,63 @@ def decide(item, answer, stretch):
     return None, common
 
 
+class RareWords:
+    """Which items a text may hold. A hit has PARAPHRASE of an item's words in
+    order, so it lacks the rest at most; of the words that lack and RARE more,
+    taken from the rarest on, RARE lie in the stretch that is compared. Where they
+    do, all words of the item are counted."""
+
+    def __init__(self, block: list, idf: np.ndarray):
+        words, items, self.need, self.sets = [], [], [], []
+        for n, (_, h, _) in enumerate(block):
+            need = next(m for m in range(len(h) + 1) if m >= PARAPHRASE * len(h))
+            self.need.append(need)
+            self.sets.append(np.unique(h, return_counts=True))
+            rare = h[np.argsort(-idf[(h >> np.uint64(50)).astype(np.int64)], kind="stable")[:len(h) - need + RARE]]
+            words.append(np.unique(rare))
+            items.append(np.full(len(words[-1]), n))
+        words, items = np.concatenate(words), np.concatenate(items)
+        order = np.lexsort((items, words))
+        self.known, self.word = np.unique(words[order], return_inverse=True)
+        self.item = items[order]
+        self.marked = np.zeros(1 << MARKS, bool)
+        self.marked[(self.known >> np.uint64(64 - MARKS)).astype(np.int64)] = True
+        size = np.array([len(h) for _, h, _ in block])
+        self.reach = size + 2 * np.maximum(STEP, size // 4)     # words of a stretch
+
+    def pairs(self, h, counts) -> np.ndarray:
+        """(texts, items): whether a stretch has enough words of the item, the rare ones first."""
+        may = np.zeros((len(counts), len(self.reach)), bool)
+        at = np.flatnonzero(self.marked[(h >> np.uint64(64 - MARKS)).astype(np.int64)])
+        w = np.minimum(np.searchsorted(self.known, h[at]), len(self.known) - 1)
+        hit = self.known[w] == h[at]
+        at, w = at[hit], w[hit]
+        text = owner(counts)[at]
+        # places of the items one after another, a bounded number at once
+        load = np.bincount(self.item, np.bincount(w, minlength=len(self.known))[self.word], len(self.reach))
+        part = (np.cumsum(load) // MOST).astype(np.int64)[self.item]
+        for p in np.unique(part):
+            word, item = self.word[part == p], self.item[part == p]
+            lo = np.searchsorted(word, w)
+            n = np.searchsorted(word, w, side="right") - lo
+            i = item[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+            t, place = np.repeat(text, n), np.repeat(at, n)
+            order = np.lexsort((place, i, t))
+            i, t, place = i[order], t[order], place[order]
+            a, b = slice(0, max(0, len(i) - RARE + 1)), slice(RARE - 1, None)
+            near = (i[a] == i[b]) & (t[a] == t[b]) & (place[b] - place[a] < self.reach[i[a]])
+            may[t[a][near], i[a][near]] = True
+        base = np.cumsum(counts) - counts
+        for t, i in np.argwhere(may).tolist():
+            part, (known, times), reach = h[base[t]:base[t] + counts[t]], self.sets[i], int(self.reach[i])
+            j = np.minimum(np.searchsorted(known, part), len(known) - 1)
+            at = np.flatnonzero(known[j] == part)
+            # a stretch lies in two neighbouring bins; a word counts as often as the item has it
+            bins = np.bincount(at // reach * len(known) + j[at], minlength=(len(part) // reach + 2) * len(known)).reshape(-1, len(known))
+            may[t, i] = np.minimum(bins[:-1] + bins[1:], times).sum(1).max() >= self.need[i]
+        return may
+
+
 def search(src: DataFrame, block: list, idf: np.ndarray, space: np.ndarray) -> DataFrame:
     """Hits of one block of items in all documents."""
     rows, starts, owners = [], [], []
@@ -230,19 +299,24 @@ def search(src: DataFrame, block: list, idf: np.ndarray, space: np.ndarray) -> D
     queries = np.concatenate(rows).T.copy()
     marks = signatures(np.concatenate([h for _, h, _ in block]), owner(np.array([len(h) for _, h, _ in block])), len(block))
     sent = src.sparkSession.sparkContext.broadcast((idf, space, queries, np.array(starts), np.array(owners), marks,
-                                                    [(i, h.tolist(), a.tolist()) for i, h, a in block]))
+                                                    [(i, h.tolist(), a.tolist()) for i, h, a in block], RareWords(block, idf)))
 
     def run(batches):
-        weight, basis, q, q_start, q_item, q_marks, known = sent.value
+        weight, basis, all_q, all_start, all_item, q_marks, known, rare = sent.value
         q_bits = np.bitwise_count(q_marks).sum(1, dtype=np.int64)
         words = Words()
         sets = [set(h) for _, h, _ in known]
         for b in batches:
             found = []
             for lo, _, h, counts in words.chunks(b.column(1)):
-                row, f, val, (text, first, length) = vectors(h, counts, STEP, True, weight)
-                if not len(text):
+                may = rare.pairs(h, counts)
+                held = may.any(1)
+                if not held.any():
                     continue
+                h, counts, may, rows = h[np.repeat(held, counts)], counts[held], may[held], lo + np.flatnonzero(held)
+                cols = np.flatnonzero(may.any(0)[all_item])
+                q, q_start, q_item = all_q[:, cols], all_start[cols], all_item[cols]
+                row, f, val, (text, first, length) = vectors(h, counts, STEP, True, weight)
                 z = unit(project(row, f, val, len(text), basis))
                 base = np.cumsum(counts) - counts
                 of = owner(length)
@@ -253,6 +327,8 @@ def search(src: DataFrame, block: list, idf: np.ndarray, space: np.ndarray) -> D
                 for at in range(0, len(z), 2048):
                     w, j = np.nonzero(z[at:at + 2048] @ q >= COSINE)
                     w, item = w + at, q_item[j]
+                    ok = may[text[w], item]
+                    w, j, item = w[ok], j[ok], item[ok]
                     both = np.bitwise_count(marks[w] & q_marks[item]).sum(1, dtype=np.int64)
                     near = both >= SHARED * np.minimum(bits[w], q_bits[item])
                     for wi, qi in zip(w[near].tolist(), j[near].tolist()):
@@ -271,7 +347,7 @@ def search(src: DataFrame, block: list, idf: np.ndarray, space: np.ndarray) -> D
                             continue
                         kind, common = decide(known[n][1], known[n][2], stretch)
                         if kind:
-                            found.append((lo + t, n, kind, common))
+                            found.append((int(rows[t]), n, kind, common))
             best: dict = {}
             for i, n, kind, common in found:
                 if (i, n) not in best or best[i, n][1] < common:
