@@ -391,3 +391,12 @@ def test_relationship_in_its_usual_order_is_one_pass(spark):
                               ).alias("want")).collect()
     assert [r.v for r in rows] == [r.want for r in rows]
     assert [r.usual for r in rows] == [True, True, True, False, False, False, False, True, None]
+
+
+def test_documents_are_spread_behind_the_join(spark):
+    # their tasks follow the cores, not the bytes of the joined rows
+    from tradewell.plans import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    tables = fx.table(spark, sf, "orders"), fx.table(spark, sf, "lineitem")
+    for docs in (fx.filing_documents(*tables), fx.odd_documents(*tables)):
+        assert docs.rdd.getNumPartitions() == fx.TASKS_A_CORE * spark.sparkContext.defaultParallelism
