@@ -400,3 +400,13 @@ def test_documents_are_spread_behind_the_join(spark):
     tables = fx.table(spark, sf, "orders"), fx.table(spark, sf, "lineitem")
     for docs in (fx.filing_documents(*tables), fx.odd_documents(*tables)):
         assert docs.rdd.getNumPartitions() == fx.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_plain_markup_computes_its_text_once(spark):
+    """The text may be an expression of its own (that of a cut document): it is not written out in every branch."""
+    from tradewell.functions.xml import plain_markup
+    docs = spark.createDataFrame([("a <b x='1'/> <!-- <c/> --><![CDATA[d&<e/>]]><f  />",)], "x string")
+    out = docs.select(plain_markup(F.concat(F.lit("<r>"), F.reverse("x"), F.lit("</r>")), F.col("x").isNull()).alias("m"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("reverse(") == 1
+    got = docs.select(plain_markup(F.col("x"), F.lit(False)).alias("m")).first().m
+    assert got == "a <b></b> d&amp;&lt;e/><f></f>"
