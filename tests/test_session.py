@@ -3,7 +3,7 @@ uses the configured checkpoint folder."""
 
 import pytest
 
-from tradewell.session import checkpoint_base, shared_dir, spread
+from tradewell.session import checkpoint_base, shared_dir, spread, spread_few
 
 
 def test_spread_only_where_asked(spark):
@@ -28,3 +28,9 @@ def test_a_cluster_needs_a_shared_folder(spark):
 def test_shared_dir_uses_checkpoint_dir(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "scratch/x") == f"{base}/scratch/x"
+
+
+def test_spread_few_leaves_many_partitions(spark):
+    df = spark.range(100).repartition(6)
+    assert spread_few(df, 6) is df
+    assert spread_few(df, 9).rdd.getNumPartitions() == 9
